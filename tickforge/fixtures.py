@@ -171,3 +171,53 @@ def chart_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.concat(F.lit("https://api.example.org/charts/"), F.col("chart")).alias("url"),
         F.to_json(F.struct(F.col("values"))).alias("body"),
     )
+
+
+def part_symbols(spark: SparkSession, sf_dir: str, seed_bad: bool = False) -> DataFrame:
+    """Symbols from ``part``: ``upper(p_name)``, with ``p_size`` put in front
+    where ``p_partkey % 7 = 0`` (digit-first symbols -> bucket ``_``).
+
+    ``seed_bad`` blanks the symbol of size-50 parts and nulls that of
+    size-49 parts, for the symbol check.  Columns: p_partkey, p_brand, fsym.
+    """
+    p = table(spark, sf_dir, "part")
+    sym = F.when(
+        F.col("p_partkey") % 7 == 0, F.concat(F.col("p_size").cast("string"), F.upper("p_name"))
+    ).otherwise(F.upper("p_name"))
+    if seed_bad:
+        sym = F.when(F.col("p_size") == 50, F.lit("  ")).when(F.col("p_size") == 49, F.lit(None)).otherwise(sym)
+    return p.select("p_partkey", "p_brand", sym.alias("fsym"))
+
+
+def order_instants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Instants from ``orders``: order date + ``o_orderkey`` seconds, plus a
+    quarter-second fraction (none when ``o_orderkey % 4 = 0``).
+
+    Columns: o_orderkey, order_date (date), instant (timestamp), text_ts,
+    text_unix (texts in several layouts; every 10th key is ``garbage``).
+    """
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    day_us = F.unix_micros(F.col("o_orderdate").cast("timestamp"))
+    instant = F.timestamp_micros(day_us + key * 1_000_000 + (key % 4) * 250_000)
+    whole = F.timestamp_seconds(F.unix_seconds(instant))
+    garbage = key % 10 == 0
+    text_ts = (
+        F.when(garbage, F.lit("garbage"))
+        .when(key % 3 == 0, F.date_format(whole, "yyyy-MM-dd HH:mm:ss"))
+        .when(key % 3 == 1, F.date_format(whole, "MM/dd/yyyy HH:mm:ss"))
+        .otherwise(F.date_format(whole, "yyyyMMdd"))
+    )
+    secs = F.unix_seconds(instant).cast("string")
+    text_unix = (
+        F.when(garbage, F.lit("garbage"))
+        .when(key % 2 == 0, F.concat(secs, F.lit(".0")))
+        .otherwise(secs)
+    )
+    return o.select(
+        "o_orderkey",
+        F.col("o_orderdate").cast("date").alias("order_date"),
+        instant.alias("instant"),
+        text_ts.alias("text_ts"),
+        text_unix.alias("text_unix"),
+    )

@@ -1,0 +1,7 @@
+"""Streaming: intentionally empty.
+
+The surveyed pipeline is batch only (no stream source, watermark, time
+window or state anywhere), so nothing is built here.  Every operator in
+``tickforge.operators`` is a plain DataFrame transformation and would accept
+a streaming DataFrame where Spark allows the same operation on one.
+"""
