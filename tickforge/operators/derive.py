@@ -12,12 +12,15 @@ a whole pair into one task, and one pair may hold a large share of all rows.
 So, by default, each pair's history is cut into time chunks and the window
 runs per (pair, chunk):
 
+0. the bars are shuffled once, by (pair, chunk),
 1. a per-(pair, chunk) summary - last close and highest non-zero high - is
-   aggregated with map-side partial aggregation (one row per chunk),
+   aggregated from the same input with map-side partial aggregation, so
+   only about one row per chunk and task is shuffled for it,
 2. a small window over that summary gives, per chunk, the close of the
    previous chunk and the highest high of all earlier chunks,
-3. that "carry" row is unioned in front of the chunk's bars, so the one big
-   shuffle (by pair and chunk) and one sort feed both window functions,
+3. that "carry" row is shuffled to the same partitioning and unioned in
+   front of the chunk's bars; the union keeps the hash partitioning, so one
+   sort feeds both window functions and no further exchange is needed,
 4. carry rows are dropped again.
 
 The result equals the plain per-pair window: the first bar of a chunk sees
@@ -53,6 +56,7 @@ from tickforge.functions.temporal import (
 NUMERIC_COLUMNS = ("open", "high", "low", "close", "volumefrom", "volumeto")
 VOLUME_RENAMES = {"volumefrom": "volume_fsym", "volumeto": "volume_tsym"}
 PAIR_KEYS = ("fsym_char1", "tsym", "fsym")
+_LOWEST = -(2**63) + 1  # ordering key for bars without a time
 
 
 @dataclass(frozen=True)
@@ -171,15 +175,21 @@ def pair_windows(
         return out
 
     chunk = F.floor(F.unix_seconds(F.col(order_col)) / F.lit(chunk_seconds))
-    bars = df.withColumn("_chunk", chunk)
-
-    # 1. one summary row per (pair, chunk); partial aggregation before the shuffle
-    aggs = [F.max_by("close", F.struct(order_col)).alias("_last_close")]
+    base = df.withColumn("_chunk", chunk)
+    # the one full shuffle of the bars: by pair and chunk
+    bars = base.repartition(*keys, "_chunk")
+
+    # 1. one summary row per (pair, chunk), partially aggregated before its
+    #    own small shuffle (it reads only the key, time, close and high
+    #    columns); a fixed-width ordering keeps it a hash aggregate, and a
+    #    NULL time still ranks (lowest)
+    order_key = F.coalesce(F.unix_micros(F.col(order_col)), F.lit(_LOWEST))
+    aggs = [F.max_by("close", order_key).alias("_last_close")]
     if with_ath:
         aggs.append(F.max(null_if_zero("high")).alias("_chunk_ath"))
-    summary = bars.groupBy(*keys, "_chunk").agg(*aggs)
+    summary = base.groupBy(*keys, "_chunk").agg(*aggs)
 
-    # 2. what each chunk inherits from the chunks before it
+    # 2. what each chunk inherits from the chunks before it (small window)
     w_prev = Window.partitionBy(*keys).orderBy("_chunk")
     carried = [F.lag("_last_close").over(w_prev).alias("close")]
     if with_ath:
@@ -188,9 +198,13 @@ def pair_windows(
             .over(w_prev.rowsBetween(Window.unboundedPreceding, -1))
             .alias("high")
         )
-    carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind"))
+    carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind")).repartition(
+        *keys, "_chunk"
+    )
 
-    # 3. carry row first in every chunk, then the chunk's bars in time order
+    # 3. carry row first in every chunk, then the chunk's bars in time order;
+    #    both union inputs share one hash partitioning, so the window needs
+    #    no exchange of its own
     stream = bars.withColumn("_kind", F.lit(1)).unionByName(carry, allowMissingColumns=True)
     w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
     out = stream.withColumn("close_lag1", F.lag("close").over(w))

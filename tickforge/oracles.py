@@ -24,10 +24,10 @@ def bars_cte(unit: str, name: str = "b") -> str:
     return f"""{name} AS (
   SELECT fsym, tsym, date_trunc('{unit}', ts) AS bar_ts,
          CAST(epoch(date_trunc('{unit}', ts)) AS BIGINT) AS time,
-         arg_min(value, (ts, event_id)) AS open,
+         arg_min(value, ts) AS open,
          floor(max(value)) AS high,
          min(value) AS low,
-         floor(arg_max(value, (ts, event_id))) AS close,
+         floor(arg_max(value, ts)) AS close,
          CAST(count(*) AS DOUBLE) AS volumefrom,
          round(sum(value), 4) AS volumeto
   FROM pe GROUP BY 1, 2, 3)"""
