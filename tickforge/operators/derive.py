@@ -156,6 +156,7 @@ def pair_windows(
     *,
     with_ath: bool,
     chunk_seconds: int | None,
+    partitioning: str = "hash",
 ) -> DataFrame:
     """W1 + W2: ``close_lag1`` and (optionally) ``all_time_high`` per pair.
 
@@ -164,7 +165,15 @@ def pair_windows(
     ``fsym_char1`` is a function of ``fsym`` and is kept as the first
     partition key, so the window sort also orders rows for a writer that
     partitions by (``fsym_char1``, ``tsym``).
+
+    ``partitioning`` (chunked form only) picks the one big shuffle:
+    ``hash`` on (pair, chunk), or ``range`` on (``fsym_char1``, ``tsym``,
+    ``fsym``, chunk) - contiguous key ranges, so each task holds one or two
+    output folders (few files) while a long pair is still cut by chunk;
+    Spark samples the input once to set the ranges.
     """
+    if partitioning not in ("hash", "range"):
+        raise ValueError("partitioning must be 'hash' or 'range'")
     df = _with_bucket(df)
     keys = list(PAIR_KEYS)
     if chunk_seconds is None:
@@ -176,8 +185,9 @@ def pair_windows(
 
     chunk = F.floor(F.unix_seconds(F.col(order_col)) / F.lit(chunk_seconds))
     base = df.withColumn("_chunk", chunk)
-    # the one full shuffle of the bars: by pair and chunk
-    bars = base.repartition(*keys, "_chunk")
+    # the one full shuffle of the bars: by pair and chunk (hash form); the
+    # range form shuffles the union below instead
+    bars = base.repartition(*keys, "_chunk") if partitioning == "hash" else base
 
     # 1. one summary row per (pair, chunk), partially aggregated before its
     #    own small shuffle (it reads only the key, time, close and high
@@ -198,14 +208,16 @@ def pair_windows(
             .over(w_prev.rowsBetween(Window.unboundedPreceding, -1))
             .alias("high")
         )
-    carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind")).repartition(
-        *keys, "_chunk"
-    )
+    carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind"))
+    if partitioning == "hash":
+        carry = carry.repartition(*keys, "_chunk")
 
     # 3. carry row first in every chunk, then the chunk's bars in time order;
     #    both union inputs share one hash partitioning, so the window needs
     #    no exchange of its own
     stream = bars.withColumn("_kind", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    if partitioning == "range":
+        stream = stream.repartitionByRange(*keys, "_chunk")
     w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
     out = stream.withColumn("close_lag1", F.lag("close").over(w))
     if with_ath:
@@ -220,6 +232,7 @@ def derive_bars(
     grain: Grain | str,
     *,
     chunked: bool = True,
+    partitioning: str = "hash",
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Landed (text) bars -> derived bars of ``grain``; lazy, no action.
@@ -236,6 +249,7 @@ def derive_bars(
         g.order_column,
         with_ath=g.ath,
         chunk_seconds=g.chunk_seconds if chunked else None,
+        partitioning=partitioning,
     )
     df = df.withColumns(
         {

@@ -32,14 +32,17 @@ def landing_rows(pages: DataFrame, as_of: str, request_ts: str) -> DataFrame:
     """Entry 2 up to the write: pages -> W3 -> S5 -> P6/D1/D10 -> P5 -> O1 -> P7.
 
     Data columns become text; the partition columns stay typed (they become
-    folder names).  Rows are sorted by numeric ``time`` inside each
-    partition folder before they become text.
+    folder names).  Rows are clustered by partition folder and sorted by
+    numeric ``time`` inside each file before they become text.
     """
     kept = backfill_cut(pages)
     bars = flatten_bars(kept, keep=("fsym", "tsym"))
     stamped = stamp_columns(bars, request_ts)
     cut = cutoff_filter(stamped, last_utc_close(F.lit(as_of)))
-    ordered = cut.sortWithinPartitions(*LANDING_PARTITIONS, "time")
+    # rows of one partition folder together (hot folders split by AQE), then
+    # O1: numeric time order inside each file
+    clustered = cut.hint("rebalance", *LANDING_PARTITIONS)
+    ordered = clustered.sortWithinPartitions(*LANDING_PARTITIONS, "time")
     return all_to_string(
         ordered.select(*LANDED_TEXT_COLUMNS, *LANDING_PARTITIONS), keep=LANDING_PARTITIONS
     )
@@ -48,7 +51,7 @@ def landing_rows(pages: DataFrame, as_of: str, request_ts: str) -> DataFrame:
 def landing_job(pages: DataFrame, root: str, run_id: str, as_of: str, request_ts: str) -> str:
     """Land one back-fill run under ``<root>/run=<run_id>``; returns that folder."""
     path = run_path(root, run_id)
-    sink_landing(landing_rows(pages, as_of, request_ts), path)
+    sink_landing(landing_rows(pages, as_of, request_ts), path, cluster=False)
     return path
 
 
@@ -57,15 +60,17 @@ def derive_job(
     run: str,
     out_path: str,
     grain: Grain | str,
-    layout: str = "chunk",
+    layout: str = "range",
     prefix: str | None = None,
 ) -> None:
     """Entry 1: landed run -> derived bars of ``grain`` -> partitioned Parquet.
 
-    ``layout``: ``chunk`` (default, one big shuffle, skew-proof windows),
-    ``pair`` (reference layout: window shuffle + one task per output
-    folder), ``bucket`` (one shuffle by (``fsym_char1``, ``tsym``) that the
-    windows reuse; a hot bucket is one task).
+    ``layout``: ``range`` (default: one big range shuffle, skew-proof
+    windows, one or two output folders per task), ``chunk`` (one big hash
+    shuffle, skew-proof, but a file per folder and task), ``pair`` (window shuffle +
+    folder-clustered rebalance), ``bucket`` (one shuffle by
+    (``fsym_char1``, ``tsym``) that the windows reuse; a hot bucket is one
+    task).
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
@@ -73,7 +78,12 @@ def derive_job(
     landed = scan_bars_prefix(spark, run, prefix) if prefix else scan_bars(spark, run)
     if layout == "bucket":
         landed = landed.repartition("fsym_char1", "tsym")
-    bars = derive_bars(landed, g, chunked=(layout != "bucket"))
+    bars = derive_bars(
+        landed,
+        g,
+        chunked=(layout != "bucket"),
+        partitioning="range" if layout == "range" else "hash",
+    )
     sink_derived(bars, out_path, layout=layout)
 
 

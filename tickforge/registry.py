@@ -286,7 +286,7 @@ def sink_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K3: landed hourly run -> derive job -> partitioned output, read back."""
     run = _landed_run(spark, sf_dir, "hour")
     out = scratch_path(spark, "derived")
-    jobs.derive_job(spark, run, out, HOUR, layout="chunk")
+    jobs.derive_job(spark, run, out, HOUR)
     return spark.read.parquet(out).select(*output_columns(HOUR))
 
 

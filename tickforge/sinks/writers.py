@@ -14,7 +14,7 @@ from tickforge.sources.landed import LANDING_PARTITIONS
 
 # Layouts of the derived-bar output.
 DERIVED_PARTITIONS = ("fsym_char1", "tsym")
-LAYOUTS = ("chunk", "pair", "bucket")
+LAYOUTS = ("chunk", "range", "pair", "bucket")
 
 
 def sink_landing(
@@ -22,14 +22,21 @@ def sink_landing(
     path: str,
     partition_cols: tuple[str, ...] | list[str] = LANDING_PARTITIONS,
     mode: str = "append",
+    cluster: bool = True,
 ) -> None:
     """K1: partitioned Parquet dataset; partition columns are required.
 
-    ``append`` adds files: write each run to its own ``run=<id>`` folder
-    (``sources.landed.run_path``) so a rerun does not double rows.
+    ``cluster`` groups rows by partition folder first (a ``rebalance`` on
+    the partition columns: AQE sizes the tasks and splits a hot folder over
+    several), so each folder gets a few well-sized files instead of one
+    small file per task.  ``append`` adds files: write each run to its own
+    ``run=<id>`` folder (``sources.landed.run_path``) so a rerun does not
+    double rows.
     """
     if not partition_cols:
         raise ValueError("sink_landing needs at least one partition column")
+    if cluster:
+        df = df.hint("rebalance", *partition_cols)
     df.write.mode(mode).partitionBy(*partition_cols).parquet(path)
 
 
@@ -41,16 +48,17 @@ def sink_flat(df: DataFrame, folder: str, name: str, mode: str = "append") -> st
 
 
 def cluster_output(df: DataFrame) -> DataFrame:
-    """One task per output folder (``fsym_char1``, ``tsym``).
+    """Rows of one output folder (``fsym_char1``, ``tsym``) together.
 
-    One task per folder means a hot folder is one task; the default
-    ``chunk`` layout of ``sink_derived`` avoids that.
+    A ``rebalance`` rather than a plain repartition: AQE splits a hot
+    folder over several tasks (and merges small ones), so no task holds a
+    whole large folder, while each task still writes to one folder.
     """
-    return df.repartition(*DERIVED_PARTITIONS)
+    return df.hint("rebalance", *DERIVED_PARTITIONS)
 
 
 def sort_derived(df: DataFrame) -> DataFrame:
-    """O2: files sorted by date inside each output folder.
+    """O2: files sorted by symbol and date inside each output folder.
 
     A global sort in front of a repartition is lost; sorting inside the
     partitions after it is what gives sorted files.
@@ -61,19 +69,25 @@ def sort_derived(df: DataFrame) -> DataFrame:
 def sink_derived(
     df: DataFrame,
     path: str,
-    layout: str = "chunk",
+    layout: str = "range",
     mode: str = "errorifexists",
     max_records_per_file: int = 5_000_000,
 ) -> None:
     """K3: derived bars partitioned by (``fsym_char1``, ``tsym``); fails if
     the path exists.
 
-    * ``chunk`` (default): write the window's own partitioning.  Rows arrive
+    * ``chunk``: write the window's own (hash) partitioning.  Rows arrive
       sorted by (``fsym_char1``, ``tsym``, ``fsym``, time), so the writer
       adds neither a shuffle nor a sort, and no task holds more than a few
-      pair-chunks.
-    * ``pair``: the reference layout, one task per output folder (O2 + O4),
-      a second full shuffle and one task per hot folder.
+      pair-chunks.  A task writes one file per folder it holds rows of.
+    * ``range`` (default): the windows' one shuffle is a range partitioning on
+      (``fsym_char1``, ``tsym``, ``fsym``, chunk) (see ``plans.jobs``), so a
+      task writes to one or two folders: few files, one shuffle, plus one
+      sampling pass over the input.
+    * ``pair``: folder-clustered output (O2 + O4): a second full shuffle,
+      rebalanced so a hot folder is split over several tasks, each file
+      holding one folder's rows sorted by symbol and date.  Fewer, larger
+      files than ``chunk``.
     * ``bucket``: the input was clustered by (``fsym_char1``, ``tsym``)
       before the windows (see ``plans.jobs.derive_job``); written as is.
     """
