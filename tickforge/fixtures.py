@@ -153,9 +153,10 @@ def coin_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def chart_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Chart responses built from ``events``: one document per event type
-    and UTC day (bounded), points ``x`` = unix seconds, ``y`` = value.
+    and block of 1,024 event ids (bounded), points ``x`` = unix seconds,
+    ``y`` = value.
 
-    Columns: chart, url, body.
+    Columns: chart, block, url, body.
     """
     ev = table(spark, sf_dir, "events")
     chart = F.concat(F.lit("n-"), F.lower("event_type"))
@@ -163,11 +164,13 @@ def chart_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.unix_seconds(F.col("ts").cast("timestamp")).alias("x"),
         F.col("value").alias("y"),
     )
-    docs = ev.groupBy(chart.alias("chart"), F.to_date("ts").alias("day")).agg(
+    block = F.floor(F.col("event_id") / 1024)
+    docs = ev.groupBy(chart.alias("chart"), block.alias("block")).agg(
         F.sort_array(F.collect_list(point)).alias("values")
     )
     return docs.select(
         "chart",
+        "block",
         F.concat(F.lit("https://api.example.org/charts/"), F.col("chart")).alias("url"),
         F.to_json(F.struct(F.col("values"))).alias("body"),
     )

@@ -300,7 +300,7 @@ FROM pr GROUP BY 1""",
         "pair_product": f"SELECT fsym, tsym FROM (SELECT DISTINCT p_brand AS fsym FROM part), {QUOTES_SQL}",
         "request_manifest": manifest,
         "chart_name": f"""SELECT chart, chart AS name
-FROM (SELECT DISTINCT {EVENT_CHART} AS chart, CAST(ts AS DATE) AS day FROM events)""",
+FROM (SELECT DISTINCT {EVENT_CHART} AS chart, event_id // 1024 AS block FROM events)""",
         "kebab_key": f"WITH {CHART_KEYS} SELECT event_id, key, replace(lower(key), '_', '-') AS kebab FROM ck",
         # date and time
         "quarter_start": f"""WITH {ORDER_INSTANTS}

@@ -308,12 +308,12 @@ def sink_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """K4: chart documents written as JSON files (folder = chart, name = day),
-    read back and flattened."""
+    """K4: chart documents written as JSON files (folder = chart, name =
+    block), read back and flattened."""
     docs = fx.chart_documents(spark, sf_dir)
     named = docs.select(
         F.col("chart").alias("folder"),
-        F.regexp_extract("body", r'"x":(\d+)', 1).alias("name"),
+        F.format_string("block-%d", "block").alias("name"),
         "body",
     )
     path = scratch_path(spark, "json")
