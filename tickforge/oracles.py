@@ -87,8 +87,8 @@ def bars_sql(unit: str, select: str, where: str = "") -> str:
 # pages of minute bars (twin of fixtures.bar_pages), flattened
 PAGES = f"""{PAIR_EVENTS}, {bars_cte('minute', 'mb')},
 pg AS (
-  SELECT *, date_diff('day', CAST(bar_ts AS DATE),
-                      (SELECT max(CAST(bar_ts AS DATE)) FROM mb)) AS page_no
+  SELECT *, CAST(date_diff('day', CAST(bar_ts AS DATE),
+                           (SELECT max(CAST(bar_ts AS DATE)) FROM mb)) AS INTEGER) AS page_no
   FROM mb),
 pb AS (
   SELECT fsym, tsym, page_no, time, open, high, low, close,
