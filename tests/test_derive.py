@@ -110,3 +110,11 @@ def test_plain_window_function_direct(spark):
     df = df.withColumn("ts", F.timestamp_seconds("t"))
     out = pair_windows(df, "ts", with_ath=True, chunk_seconds=1).orderBy("t")
     assert rows(out, "close_lag1", "all_time_high") == [(None, 2.0), (1.0, 2.0)]
+
+
+def test_dedupe_option(spark):
+    data = [("X", "USD", 0, "1", "1"), ("X", "USD", DAY_S, "2", "2"), ("X", "USD", DAY_S, "2", "2")]
+    twice = landed(spark, data)
+    assert derive_bars(twice, DAY).count() == 3  # nothing dropped by default
+    once = derive_bars(twice, DAY, dedupe=True).orderBy("date")
+    assert rows(once, "change") == [(None,), (1.0,)]

@@ -84,10 +84,6 @@ def test_sink_json_rejects_bad_documents(spark):
         writers.sink_json(bad, scratch_path(spark, "t-json"))
 
 
-def count_nodes(plan: str, name: str) -> int:
-    return sum(1 for line in plan.splitlines() if line.strip().lstrip("+-: *()0123456789").startswith(name))
-
-
 def test_chunked_window_plan_shape(spark):
     df = registry.change_minute(spark, SF_SMALL)
     df.collect()
@@ -124,3 +120,32 @@ def test_no_python_udf_in_any_registered_query(spark):
 def test_backfill_join_is_size_checked_broadcast(spark):
     df = registry.backfill_cut(spark, SF_SMALL)
     assert "BroadcastHashJoin" in plan_of(df)
+
+
+def test_landing_then_derive_end_to_end(spark):
+    """pages -> landing job -> derive job equals deriving the kept, cut bars directly."""
+    from tickforge.functions.temporal import last_utc_close
+    from tickforge.operators import landing
+    from tickforge.sources import responses as resp
+
+    pages = fx.bar_pages(spark, SF_SMALL)
+    root = scratch_path(spark, "t-e2e")
+    run = jobs.landing_job(pages, root, "2024-01-30_12_00_00", "2024-01-30 12:00:00", "2024-01-30 12:00:01")
+    out = scratch_path(spark, "t-e2e-out")
+    jobs.derive_job(spark, run, out, MINUTE)
+    got = spark.read.parquet(out).select(*output_columns(MINUTE))
+
+    kept = resp.flatten_bars(landing.backfill_cut(pages), keep=("fsym", "tsym"))
+    cut = landing.cutoff_filter(kept, last_utc_close(F.lit("2024-01-30 12:00:00")))
+    text = landing.all_to_string(cut)
+    want = derive_bars(text, MINUTE, chunked=False)
+    assert got.count() > 0
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+
+
+def test_session_settings(spark):
+    from tickforge.session import get_session
+
+    s = get_session()
+    assert s.conf.get("spark.sql.session.timeZone") == "UTC"
+    assert s.conf.get("spark.sql.adaptive.enabled") == "true"

@@ -127,3 +127,13 @@ def test_json_parse_variant_and_schema(spark):
         resp.json_parse("body", "STRUCT<a: STRUCT<b: INT>>").getField("a").getField("b").alias("s"),
     ).first()
     assert (r["v"], r["s"]) == (3, 3)
+
+
+def test_dedupe_bars_keeps_newest_request(spark):
+    df = spark.createDataFrame(
+        [("A", "USD", 1, "2018-12-23 00:00:00", 1.0), ("A", "USD", 1, "2018-12-24 00:00:00", 2.0),
+         ("A", "USD", 2, "2018-12-23 00:00:00", 3.0), ("B", "USD", 1, None, 4.0)],
+        "fsym string, tsym string, time long, request_timestamp string, close double",
+    )
+    out = landing.dedupe_bars(df)
+    assert sorted(rows(out, "fsym", "time", "close")) == [("A", 1, 2.0), ("A", 2, 3.0), ("B", 1, 4.0)]

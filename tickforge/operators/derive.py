@@ -51,6 +51,7 @@ from tickforge.functions.temporal import (
     parse_timestamp,
     unix_to_ts,
 )
+from tickforge.operators.landing import dedupe_bars
 
 # The numeric columns of a landed bar and the volume renames.
 NUMERIC_COLUMNS = ("open", "high", "low", "close", "volumefrom", "volumeto")
@@ -233,15 +234,19 @@ def derive_bars(
     *,
     chunked: bool = True,
     partitioning: str = "hash",
+    dedupe: bool = False,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Landed (text) bars -> derived bars of ``grain``; lazy, no action.
 
-    ``keep`` names extra intermediate columns (e.g. ``close_lag1``) to keep
-    after the fixed output columns.
+    ``dedupe`` keeps one bar per (pair, time), the newest request's (see
+    ``operators.landing.dedupe_bars``).  ``keep`` names extra intermediate
+    columns (e.g. ``close_lag1``) to keep after the fixed output columns.
     """
     g = grain_of(grain)
     df = typed_bars(landed)
+    if dedupe:
+        df = dedupe_bars(df.withColumn("time", F.col("time").try_cast("bigint")))
     df = add_bar_time(df, g)
     df = rename_volumes(df)
     df = pair_windows(

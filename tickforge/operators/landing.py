@@ -112,3 +112,19 @@ def recent_bars(df: DataFrame, n: int, time_col: str = "time") -> DataFrame:
     """
     w = Window.partitionBy(*PAIR).orderBy(F.col(time_col).desc())
     return df.withColumn("recent_rank", F.row_number().over(w)).filter(F.col("recent_rank") <= n)
+
+
+def dedupe_bars(
+    df: DataFrame,
+    keys: tuple[str, ...] = ("fsym", "tsym", "time"),
+    newest_by: str = "request_timestamp",
+) -> DataFrame:
+    """Keep one bar per (pair, time): the one from the newest request.
+
+    Back-fill pages overlap at their borders, so a bar can land twice.  Off
+    by default everywhere (nothing is dropped silently).  ``row_number() =
+    1`` lets Spark keep only the newest row per key inside each task before
+    the shuffle; the key includes the bar time, so no group is large.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.col(newest_by).desc_nulls_last())
+    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
