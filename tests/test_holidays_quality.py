@@ -95,3 +95,17 @@ def test_dataset_checks(spark):
     with pytest.raises(ValueError):
         quality.require_empty(quality.check_status(resp), "bad responses")
     quality.require_empty(quality.check_status(resp.filter("status = 200")), "bad responses")
+
+
+def test_chart_requests_suffix(spark):
+    charts = spark.createDataFrame([("n-tx", "https://a/charts/n-tx")], "chart string, url string")
+    assert pairs.chart_requests(charts).first()["request_url"] == "https://a/charts/n-tx?timespan=all&format=json"
+
+
+def test_coin_list_job_fails_on_bad_status(spark):
+    from tickforge.plans import jobs
+    from tickforge.session import scratch_path
+
+    docs = spark.createDataFrame([("d", 500, '{"Data": {}}')], "doc_id string, status int, body string")
+    with pytest.raises(ValueError, match="HTTP 200"):
+        jobs.coin_list_job(docs, scratch_path(spark, "t-coins"), "coinlist", "2018-12-23 00:00:00")

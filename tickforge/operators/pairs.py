@@ -48,8 +48,9 @@ def bucket_pairs(pairs: DataFrame) -> DataFrame:
 
 
 def cluster_by_bucket(pairs: DataFrame) -> DataFrame:
-    """A3 as a job layout: the pairs of one bucket land in one task."""
-    return pairs.repartition("fsym_char1")
+    """A3 as a job layout: the pairs of one bucket together, one work unit
+    each; a ``rebalance`` so AQE splits a bucket with very many pairs."""
+    return pairs.hint("rebalance", "fsym_char1")
 
 
 def request_manifest(

@@ -17,6 +17,7 @@ from tickforge.operators.landing import (
     cutoff_filter,
     stamp_columns,
 )
+from tickforge.operators.quality import check_status, require_empty
 from tickforge.sinks.writers import LAYOUTS, sink_charts, sink_derived, sink_flat, sink_landing
 from tickforge.sources.landed import (
     LANDED_TEXT_COLUMNS,
@@ -93,6 +94,11 @@ def chart_job(docs: DataFrame, path: str) -> None:
 
 
 def coin_list_job(docs: DataFrame, folder: str, name: str, request_ts: str) -> str:
-    """Coin list: documents -> rows (all text) + request stamp -> flat dataset."""
+    """Coin list: documents -> rows (all text) + request stamp -> flat dataset.
+
+    A failed coin-list response fails the job (Q4); bar pages, in contrast,
+    are skipped.
+    """
+    require_empty(check_status(docs), "coin-list response is not HTTP 200")
     coins = flatten_coins(docs).withColumn("request_timestamp", F.lit(request_ts))
     return sink_flat(coins, folder, name)
