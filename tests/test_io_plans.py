@@ -67,10 +67,12 @@ def test_pair_layout_files_sorted_by_date(spark):
     run = src.run_path(scratch_path(spark, "t-landed"), "r1")
     writers.sink_landing(fx.landed_bars(spark, SF_SMALL, "hour"), run)
     out = scratch_path(spark, "t-derived-sorted")
-    jobs.derive_job(spark, run, out, HOUR, layout="pair")
-    for f in glob.glob(os.path.join(local(out), "fsym_char1=*", "tsym=*", "*.parquet")):
+    jobs.derive_job(spark, run, out, MINUTE, layout="pair")
+    files = glob.glob(os.path.join(local(out), "fsym_char1=*", "tsym=*", "*.parquet"))
+    assert files
+    for f in files:
         pdf = spark.read.parquet(f).toPandas()
-        keys = list(zip(pdf["fsym"], pdf["date"], pdf["hour"]))
+        keys = list(zip(pdf["fsym"], pdf["date"], pdf["hour"], pdf["minute"]))
         assert keys == sorted(keys)
 
 
@@ -149,3 +151,11 @@ def test_session_settings(spark):
     s = get_session()
     assert s.conf.get("spark.sql.session.timeZone") == "UTC"
     assert s.conf.get("spark.sql.adaptive.enabled") == "true"
+
+
+def test_sizing_conf():
+    from tickforge.session import sizing_conf
+
+    conf = sizing_conf(100 * 2**40)
+    assert conf["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (512 << 20))
+    assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "1"

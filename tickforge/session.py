@@ -87,3 +87,22 @@ def checkpoint_root(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new, unused folder below the shared checkpoint root."""
     return f"{checkpoint_root(spark)}/{name}-{uuid.uuid4().hex}"
+
+
+def sizing_conf(input_bytes: int, partition_bytes: int = 512 << 20) -> dict[str, str]:
+    """Settings sized to the input: shuffle partitions of about
+    ``partition_bytes`` each, scan splits and AQE's target of the same size.
+
+    For 100 TB at 512 MiB that is ~200k shuffle partitions; AQE merges the
+    small ones at run time and ``rebalance`` writes aim at the same size,
+    so files stay large.  Pass the result as ``conf`` to ``get_session`` (or
+    to spark-submit).
+    """
+    partitions = max(1, -(-int(input_bytes) // int(partition_bytes)))
+    size = str(int(partition_bytes))
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.files.maxPartitionBytes": size,
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+    }

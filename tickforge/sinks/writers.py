@@ -58,12 +58,14 @@ def cluster_output(df: DataFrame) -> DataFrame:
 
 
 def sort_derived(df: DataFrame) -> DataFrame:
-    """O2: files sorted by symbol and date inside each output folder.
+    """O2: files sorted by symbol and bar time (date, hour, minute) inside
+    each output folder.
 
     A global sort in front of a repartition is lost; sorting inside the
     partitions after it is what gives sorted files.
     """
-    return cluster_output(df).sortWithinPartitions(*DERIVED_PARTITIONS, "fsym", "date")
+    calendar = [c for c in ("date", "hour", "minute") if c in df.columns]
+    return cluster_output(df).sortWithinPartitions(*DERIVED_PARTITIONS, "fsym", *calendar)
 
 
 def sink_derived(
