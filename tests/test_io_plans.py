@@ -159,3 +159,11 @@ def test_sizing_conf():
     conf = sizing_conf(100 * 2**40)
     assert conf["spark.sql.shuffle.partitions"] == str(100 * 2**40 // (512 << 20))
     assert sizing_conf(1)["spark.sql.shuffle.partitions"] == "1"
+
+
+def test_each_page_body_parsed_once(spark):
+    """No inferred size() filter re-parsing the JSON below the generator."""
+    df = registry.concat_pages(spark, SF_SMALL)
+    plan = df._jdf.queryExecution().optimizedPlan().toString()
+    main = plan.split("Join")[0]
+    assert main.count("from_json") == 1

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from tickforge.functions.symbols import symbol_bucket
 from tickforge.functions.temporal import date_parts, unix_to_ts
 from tickforge.plans.joins import join_small
-from tickforge.sources.responses import OK_STATUS, json_parse, parse_bar_pages
+from tickforge.sources.responses import BAR_PAGE_SCHEMA, OK_STATUS, explode_rows, json_parse
 
 PAIR = ("fsym", "tsym")
 # volume-only view of a page: enough to decide A2 without materialising bars
@@ -63,9 +63,8 @@ def backfill_cut(pages: DataFrame, body: str = "body", max_pairs: int = 2_000_00
 
 def concat_pages(pages: DataFrame, keep: tuple[str, ...] = PAIR) -> DataFrame:
     """The bars of all given pages as one list of rows."""
-    if "Data" not in pages.columns:
-        pages = parse_bar_pages(pages)
-    return pages.select(*keep, F.inline("Data"))
+    data = F.col("Data") if "Data" in pages.columns else json_parse("body", BAR_PAGE_SCHEMA).getField("Data")
+    return explode_rows(pages, data, keep).select(*keep, "_item.*")
 
 
 def stamp_columns(df: DataFrame, request_ts: str | None = None) -> DataFrame:

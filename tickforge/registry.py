@@ -225,7 +225,7 @@ def map_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The values of the keyed object, one row per coin."""
     docs = fx.coin_documents(spark, sf_dir)
     data = resp.json_parse("body", resp.COIN_LIST_SCHEMA).getField("Data")
-    coins = docs.select(F.explode(resp.map_values(data)).alias("coin"))
+    coins = resp.explode_rows(docs, resp.map_values(data), []).withColumnRenamed("_item", "coin")
     return coins.select(
         F.col("coin").getItem("Symbol").alias("symbol"), F.size("coin").alias("n_fields")
     )
@@ -320,7 +320,8 @@ def sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     writers.sink_json(named, path)
     back = spark.read.option("basePath", path).text(path)
     points = F.from_json("value", resp.CHART_SCHEMA).getField("values")
-    return back.select(F.col("folder").alias("chart"), F.inline(points))
+    rows = resp.explode_rows(back, points, ["folder"])
+    return rows.select(F.col("folder").alias("chart"), "_item.*")
 
 
 # ------------------------------------------------------------ symbols and pairs

@@ -36,6 +36,19 @@ def map_values(m: Column | str) -> Column:
     return F.map_values(F.col(m) if isinstance(m, str) else m)
 
 
+def explode_rows(df: DataFrame, nested: Column, keep: tuple[str, ...] | list[str]) -> DataFrame:
+    """One row per element of ``nested`` (array of structs, or map), the
+    ``keep`` columns carried along; empty and missing collections give no row.
+
+    An outer generator plus a filter on the element position is used, not
+    ``inline``/``explode``: for those Catalyst infers a ``size(x) > 0``
+    filter below the generator, which would parse every JSON body a second
+    time.
+    """
+    out = df.select(*keep, F.posexplode_outer(nested).alias("_pos", "_item"))
+    return out.filter(F.col("_pos").isNotNull()).drop("_pos")
+
+
 def parse_bar_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     """Add ``Data`` and ``TimeFrom`` parsed from the page body; drop the text."""
     parsed = json_parse(body, BAR_PAGE_SCHEMA)
@@ -47,9 +60,8 @@ def parse_bar_pages(pages: DataFrame, body: str = "body") -> DataFrame:
 def flatten_bars(pages: DataFrame, keep: tuple[str, ...] = ("fsym", "tsym", "page_no")) -> DataFrame:
     """Bar pages -> one row per bar; non-200 and empty pages give no rows."""
     ok = pages.filter(F.col("status") == OK_STATUS)
-    if "Data" not in ok.columns:
-        ok = parse_bar_pages(ok)
-    return ok.select(*keep, F.inline("Data"))
+    data = F.col("Data") if "Data" in ok.columns else json_parse("body", BAR_PAGE_SCHEMA).getField("Data")
+    return explode_rows(ok, data, keep).select(*keep, "_item.*")
 
 
 def flatten_coins(
@@ -62,9 +74,8 @@ def flatten_coins(
     All values are text; fields a coin lacks are NULL.  ``fields=None`` finds
     the field names first (one small job over the distinct names, sorted).
     """
-    coins = docs.select(
-        F.explode(json_parse(body, COIN_LIST_SCHEMA).getField("Data")).alias("coin_key", "coin")
-    )
+    data = json_parse(body, COIN_LIST_SCHEMA).getField("Data")
+    coins = explode_rows(docs, map_values(data), []).withColumnRenamed("_item", "coin")
     if fields is None:
         names = coins.select(F.explode(F.map_keys("coin")).alias("k")).distinct().orderBy("k")
         fields = tuple(r["k"] for r in names.collect())
@@ -73,4 +84,5 @@ def flatten_coins(
 
 def flatten_charts(docs: DataFrame, body: str = "body") -> DataFrame:
     """Chart documents -> (chart, x, y) rows; the chart name is kept."""
-    return docs.select("chart", F.inline(json_parse(body, CHART_SCHEMA).getField("values")))
+    points = json_parse(body, CHART_SCHEMA).getField("values")
+    return explode_rows(docs, points, ["chart"]).select("chart", "_item.*")
