@@ -33,6 +33,14 @@ SHUFFLE_PARTITIONS = int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", str(2 * CPUS
 RUNS = int(os.environ.get("BENCH_RUNS", "3"))
 
 
+def _sf_of(path: str):
+    text = os.path.basename(path.rstrip("/")).replace("sf", "")
+    try:
+        return float(text)
+    except ValueError:
+        return text
+
+
 def force(df) -> None:
     df.write.format("noop").mode("overwrite").save()
 
@@ -87,7 +95,7 @@ def main() -> None:
         "value": round(sum(results.values()), 3),
         "unit": "sec",
         "queries": results,
-        "sf": os.path.basename(SF_DIR.rstrip("/")).replace("sf", ""),
+        "sf": _sf_of(SF_DIR),
         "cpus": CPUS,
         "shuffle_partitions": SHUFFLE_PARTITIONS,
         "runs": RUNS,

@@ -118,3 +118,34 @@ def test_dedupe_option(spark):
     assert derive_bars(twice, DAY).count() == 3  # nothing dropped by default
     once = derive_bars(twice, DAY, dedupe=True).orderBy("date")
     assert rows(once, "change") == [(None,), (1.0,)]
+
+
+def test_hot_pair_is_split_across_tasks(spark):
+    """One pair with ~90% of the rows: the chunked window spreads it over
+    many tasks; the plain per-pair window would keep it in one."""
+    hot = spark.range(0, 60 * 24 * 40).select(  # 40 days of minute bars
+        F.lit("HOT").alias("fsym"), F.lit("USD").alias("tsym"), (F.col("id") * 60).alias("t"))
+    cold = spark.range(0, 6000).select(
+        F.concat(F.lit("C"), (F.col("id") % 50).cast("string")).alias("fsym"), F.lit("USD").alias("tsym"),
+        (F.col("id") * 60).alias("t"))
+    bars = hot.unionByName(cold).select(
+        F.col("t").cast("string").alias("time"), F.lit("1").alias("open"), F.lit("2").alias("high"),
+        F.lit("1").alias("low"), F.lit("1").alias("close"), F.lit("1").alias("volumefrom"),
+        F.lit("1").alias("volumeto"), "fsym", "tsym")
+
+    def largest_share(df):
+        # sum(change) keeps the window in the plan (a count alone would prune it)
+        sizes = df.groupBy(F.spark_partition_id().alias("p")).agg(
+            F.count(F.lit(1)).alias("count"), F.sum("change")).collect()
+        return max(r["count"] for r in sizes) / sum(r["count"] for r in sizes)
+
+    chunked = derive_bars(bars, MINUTE)
+    plain = derive_bars(bars, MINUTE, chunked=False)
+    # AQE would (rightly) merge these few MB into one partition; measure the
+    # partitioning itself
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        assert largest_share(plain) > 0.85
+        assert largest_share(chunked) < 0.3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
