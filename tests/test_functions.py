@@ -33,10 +33,10 @@ def test_pct_from_ath(spark):
 
 
 def test_unix_to_ts_forms(spark):
-    df = one_col(spark, ["1545523200", "1545523200.0", "None", "garbage", ""])
+    df = one_col(spark, ["1545523200", "1545523200.0", "None", "garbage", "", "99999999999999999", "1e300"])
     got = [r[0] for r in df.select(ft.unix_to_ts("v")).collect()]
     assert got[:2] == [dt.datetime(2018, 12, 23), dt.datetime(2018, 12, 23)]
-    assert got[2:] == [None, None, None]
+    assert got[2:] == [None] * 5
 
 
 def test_parse_timestamp_layouts(spark):

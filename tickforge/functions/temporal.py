@@ -22,6 +22,11 @@ TIMESTAMP_LAYOUTS = (
 )
 
 
+# Unix seconds of 0001-01-01 00:00:00 and 9999-12-31 23:59:59 UTC.
+SECONDS_MIN = -62_135_596_800
+SECONDS_MAX = 253_402_300_799
+
+
 def _c(c: Column | str) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
@@ -29,11 +34,13 @@ def _c(c: Column | str) -> Column:
 def unix_to_ts(c: Column | str) -> Column:
     """Unix seconds (number or text, ``'1545523200.0'`` too) -> UTC timestamp.
 
-    Dirty text ('None', 'nan', '') gives NULL instead of an error.
+    Dirty text ('None', 'nan', '') and seconds outside years 1-9999 give
+    NULL instead of failing the job.
     """
     c = _c(c)
     seconds = F.coalesce(c.try_cast("bigint"), c.try_cast("double").try_cast("bigint"))
-    return F.timestamp_seconds(seconds)
+    in_range = seconds.between(SECONDS_MIN, SECONDS_MAX)
+    return F.when(in_range, F.timestamp_seconds(seconds))
 
 
 def parse_timestamp(c: Column | str) -> Column:
