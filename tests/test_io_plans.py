@@ -167,3 +167,13 @@ def test_each_page_body_parsed_once(spark):
     plan = df._jdf.queryExecution().optimizedPlan().toString()
     main = plan.split("Join")[0]
     assert main.count("from_json") == 1
+
+
+def test_landed_files_are_time_ordered(spark):
+    pages = fx.bar_pages(spark, SF_SMALL)
+    run = jobs.landing_job(pages, scratch_path(spark, "t-sorted-landing"), "r", "2024-02-01 00:00:00", "x")
+    files = glob.glob(os.path.join(local(run), "**", "*.parquet"), recursive=True)
+    assert files
+    for f in files:
+        times = [int(t) for t in spark.read.parquet(f).toPandas()["time"]]
+        assert times == sorted(times)

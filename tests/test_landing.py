@@ -137,3 +137,10 @@ def test_dedupe_bars_keeps_newest_request(spark):
     )
     out = landing.dedupe_bars(df)
     assert sorted(rows(out, "fsym", "time", "close")) == [("A", 1, 2.0), ("A", 2, 3.0), ("B", 1, 4.0)]
+
+
+def test_json_parse_strictness(spark):
+    df = spark.createDataFrame([("{bad",)], "body string")
+    assert df.select(resp.json_parse("body", strict=False).alias("v")).first()["v"] is None
+    with pytest.raises(Exception):
+        df.select(resp.json_parse("body")).collect()

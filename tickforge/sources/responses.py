@@ -21,14 +21,18 @@ CHART_SCHEMA = "STRUCT<values: ARRAY<STRUCT<x: BIGINT, y: DOUBLE>>>"
 OK_STATUS = 200
 
 
-def json_parse(body: Column | str, schema: str | None = None) -> Column:
+def json_parse(body: Column | str, schema: str | None = None, strict: bool = True) -> Column:
     """JSON text -> nested value.
 
     With a schema: ``from_json`` (NULL fields for a non-matching document).
-    Without: ``parse_json`` to VARIANT, which fails on malformed text.
+    Without: ``parse_json`` to VARIANT, which fails the job on malformed
+    text like the reference's parse did; ``strict=False`` gives NULL instead
+    (``try_parse_json``).
     """
     body = F.col(body) if isinstance(body, str) else body
-    return F.from_json(body, schema) if schema else F.parse_json(body)
+    if schema:
+        return F.from_json(body, schema)
+    return F.parse_json(body) if strict else F.try_parse_json(body)
 
 
 def map_values(m: Column | str) -> Column:
