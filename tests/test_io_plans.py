@@ -87,17 +87,25 @@ def test_sink_json_rejects_bad_documents(spark):
 
 
 def test_chunked_window_plan_shape(spark):
-    df = registry.change_minute(spark, SF_SMALL)
-    df.collect()
-    plan = plan_of(df)
+    run = src.run_path(scratch_path(spark, "t-landed"), "r1")
+    writers.sink_landing(fx.landed_bars(spark, SF_SMALL, "minute"), run)
+    df = derive_bars(src.scan_bars(spark, run), MINUTE)
+    plan = df._jdf.queryExecution().executedPlan().toString()  # AQE's initial plan
     # no Python workers anywhere
-    assert "EvalPython" not in plan and "FlatMapGroupsInPandas" not in plan
-    # no exchange directly above the union: the big shuffle is the bars' own
-    lines = plan.splitlines()
-    union_at = [i for i, line in enumerate(lines) if line.strip().lstrip("+-: ").startswith("Union")]
-    assert union_at
-    above = "\n".join(lines[max(0, union_at[0] - 3): union_at[0]])
-    assert "Exchange" not in above
+    assert "EvalPython" not in plan and "InPandas" not in plan
+    # the one big shuffle is the window's exchange right above the union,
+    # hash on (pair, chunk); the bars branch below the union has none
+    lines = [line.strip().lstrip("+-: ") for line in plan.splitlines()]
+    union_at = next(i for i, line in enumerate(lines) if line.startswith("Union"))
+    assert lines[union_at - 1].startswith("Exchange hashpartitioning(fsym_char1")
+    assert "_chunk" in lines[union_at - 1]
+    bars_branch = []
+    for line in lines[union_at + 1:]:
+        if line.startswith("Project [null AS open"):
+            break  # the carry branch starts here
+        bars_branch.append(line)
+    assert not any(line.startswith("Exchange") for line in bars_branch)
+    assert plan.count("Exchange") == 3  # + the summary's aggregate and window
 
 
 def test_range_layout_plan_has_one_range_exchange(spark):

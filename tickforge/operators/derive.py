@@ -12,15 +12,14 @@ a whole pair into one task, and one pair may hold a large share of all rows.
 So, by default, each pair's history is cut into time chunks and the window
 runs per (pair, chunk):
 
-0. the bars are shuffled once, by (pair, chunk),
 1. a per-(pair, chunk) summary - last close and highest non-zero high - is
-   aggregated from the same input with map-side partial aggregation, so
-   only about one row per chunk and task is shuffled for it,
+   aggregated from the input with map-side partial aggregation, so only
+   about one row per chunk and task is shuffled for it,
 2. a small window over that summary gives, per chunk, the close of the
    previous chunk and the highest high of all earlier chunks,
-3. that "carry" row is shuffled to the same partitioning and unioned in
-   front of the chunk's bars; the union keeps the hash partitioning, so one
-   sort feeds both window functions and no further exchange is needed,
+3. that "carry" row is unioned with the bars; the bars are shuffled once,
+   by (pair, chunk), together with the carry rows, and one sort puts the
+   carry row first in its chunk and feeds both window functions,
 4. carry rows are dropped again.
 
 The result equals the plain per-pair window: the first bar of a chunk sees
@@ -186,9 +185,6 @@ def pair_windows(
 
     chunk = F.floor(F.unix_seconds(F.col(order_col)) / F.lit(chunk_seconds))
     base = df.withColumn("_chunk", chunk)
-    # the one full shuffle of the bars: by pair and chunk (hash form); the
-    # range form shuffles the union below instead
-    bars = base.repartition(*keys, "_chunk") if partitioning == "hash" else base
 
     # 1. one summary row per (pair, chunk), partially aggregated before its
     #    own small shuffle (it reads only the key, time, close and high
@@ -210,13 +206,11 @@ def pair_windows(
             .alias("high")
         )
     carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind"))
-    if partitioning == "hash":
-        carry = carry.repartition(*keys, "_chunk")
 
     # 3. carry row first in every chunk, then the chunk's bars in time order;
-    #    both union inputs share one hash partitioning, so the window needs
-    #    no exchange of its own
-    stream = bars.withColumn("_kind", F.lit(1)).unionByName(carry, allowMissingColumns=True)
+    #    the one full shuffle is the window's own exchange above the union
+    #    (hash on pair and chunk) or an explicit range partitioning
+    stream = base.withColumn("_kind", F.lit(1)).unionByName(carry, allowMissingColumns=True)
     if partitioning == "range":
         stream = stream.repartitionByRange(*keys, "_chunk")
     w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
