@@ -185,3 +185,13 @@ def test_landed_files_are_time_ordered(spark):
     for f in files:
         times = [int(t) for t in spark.read.parquet(f).toPandas()["time"]]
         assert times == sorted(times)
+
+
+def test_derive_job_prefix(spark):
+    run = src.run_path(scratch_path(spark, "t-landed"), "r1")
+    writers.sink_landing(fx.landed_bars(spark, SF_SMALL, "hour"), run)
+    out = scratch_path(spark, "t-derived-prefix")
+    jobs.derive_job(spark, run, out, HOUR, prefix="V")
+    got = spark.read.parquet(out)
+    assert got.count() == fx.landed_bars(spark, SF_SMALL, "hour").filter("fsym_char1 = 'V'").count() > 0
+    assert {r[0] for r in got.select("fsym_char1").distinct().collect()} == {"V"}
