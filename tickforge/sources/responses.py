@@ -81,8 +81,8 @@ def flatten_coins(
     data = json_parse(body, COIN_LIST_SCHEMA).getField("Data")
     coins = explode_rows(docs, map_values(data), []).withColumnRenamed("_item", "coin")
     if fields is None:
-        names = coins.select(F.explode(F.map_keys("coin")).alias("k")).distinct().orderBy("k")
-        fields = tuple(r["k"] for r in names.collect())
+        keys = explode_rows(coins, F.map_keys("coin"), []).select(F.col("_item").alias("k"))
+        fields = tuple(r["k"] for r in keys.distinct().orderBy("k").collect())
     return coins.select(*[F.col("coin").getItem(f).alias(f) for f in fields])
 
 
