@@ -11,4 +11,4 @@ Sub-packages:
 * ``streaming``  - intentionally empty (no streaming in scope)
 """
 
-from tickforge.session import get_session, ensure_utc, scratch_path  # noqa: F401
+from tickforge.session import ensure_utc, get_session, scratch_path, sizing_conf  # noqa: F401
