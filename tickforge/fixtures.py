@@ -96,10 +96,8 @@ def bar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     Columns: fsym, tsym, page_no, status, body (JSON text).
     """
     b = bars(spark, sf_dir, "minute").withColumn("day", F.to_date("bar_ts"))
-    newest = b.agg(F.max("day").alias("newest_day"))  # exactly one row
-    paged = b.crossJoin(F.broadcast(newest)).withColumn(
-        "page_no", F.datediff("newest_day", "day")
-    )
+    newest = b.agg(F.max("day")).scalar()  # scalar subquery: one value, no join
+    paged = b.withColumn("page_no", F.datediff(newest, F.col("day")))
     volume = F.when(F.col("page_no") == ZERO_VOLUME_PAGE, F.lit(0.0)).otherwise(F.col("volumefrom"))
     bar = F.struct(
         "time", "open", "high", "low", "close", volume.alias("volumefrom"), "volumeto"
