@@ -296,7 +296,8 @@ def sort_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def cluster_output(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Derived hourly bars, one task per output folder."""
+    """Derived hourly bars with each output folder's rows together
+    (rebalanced: a hot folder is split over several tasks)."""
     return writers.cluster_output(change_hourly(spark, sf_dir))
 
 
