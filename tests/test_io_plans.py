@@ -195,3 +195,18 @@ def test_derive_job_prefix(spark):
     got = spark.read.parquet(out)
     assert got.count() == fx.landed_bars(spark, SF_SMALL, "hour").filter("fsym_char1 = 'V'").count() > 0
     assert {r[0] for r in got.select("fsym_char1").distinct().collect()} == {"V"}
+
+
+def test_json_documents_round_trip(spark):
+    """K4 -> read_documents -> S6: documents written one per folder come back whole."""
+    from tickforge.sources import responses as resp
+
+    docs = fx.chart_documents(spark, SF_SMALL)
+    named = docs.select(F.col("chart").alias("folder"), F.format_string("b%d", "block").alias("name"), "body")
+    path = scratch_path(spark, "t-docs")
+    writers.sink_json(named, path)
+    back = resp.read_documents(spark, path)
+    assert back.count() == docs.count()
+    assert {"path", "body", "folder", "name"} <= set(back.columns)
+    points = resp.flatten_charts(back.withColumnRenamed("folder", "chart"))
+    assert points.count() == fx.table(spark, SF_SMALL, "events").count()

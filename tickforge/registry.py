@@ -319,10 +319,8 @@ def sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     path = scratch_path(spark, "json")
     writers.sink_json(named, path)
-    back = spark.read.option("basePath", path).text(path)
-    points = F.from_json("value", resp.CHART_SCHEMA).getField("values")
-    rows = resp.explode_rows(back, points, ["folder"])
-    return rows.select(F.col("folder").alias("chart"), "_item.*")
+    back = resp.read_documents(spark, path).withColumnRenamed("folder", "chart")
+    return resp.flatten_charts(back)
 
 
 # ------------------------------------------------------------ symbols and pairs

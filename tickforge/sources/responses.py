@@ -8,7 +8,7 @@ JVM code, then explodes the nested array / map into rows.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Shapes of the three response kinds.
@@ -35,6 +35,21 @@ def json_parse(body: Column | str, schema: str | None = None, strict: bool = Tru
     return F.parse_json(body) if strict else F.try_parse_json(body)
 
 
+def read_documents(spark: SparkSession, path: str) -> DataFrame:
+    """Landed JSON documents, one per file (as ``sink_json`` writes them):
+    rows of (``path``, ``body``) plus any partition columns of the folders.
+
+    Each file is one row (``wholetext``), so a document is never split; the
+    files are spread over tasks by Spark's file listing.
+    """
+    docs = spark.read.option("wholetext", True).option("basePath", path).text(path)
+    return docs.select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("value").alias("body"),
+        *[c for c in docs.columns if c != "value"],
+    )
+
+
 def map_values(m: Column | str) -> Column:
     """The values of a keyed object, as an array."""
     return F.map_values(F.col(m) if isinstance(m, str) else m)
