@@ -210,3 +210,26 @@ def test_json_documents_round_trip(spark):
     assert {"path", "body", "folder", "name"} <= set(back.columns)
     points = resp.flatten_charts(back.withColumnRenamed("folder", "chart"))
     assert points.count() == fx.table(spark, SF_SMALL, "events").count()
+
+
+def test_checkpoint_root_refuses_local_folder_on_a_cluster():
+    from tickforge.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getConf(self):
+            return Conf()
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
