@@ -109,3 +109,11 @@ def test_coin_list_job_fails_on_bad_status(spark):
     docs = spark.createDataFrame([("d", 500, '{"Data": {}}')], "doc_id string, status int, body string")
     with pytest.raises(ValueError, match="HTTP 200"):
         jobs.coin_list_job(docs, scratch_path(spark, "t-coins"), "coinlist", "2018-12-23 00:00:00")
+
+
+def test_fixed_year_range_matches_data_range(spark):
+    days = [dt.date(2021, 12, 31), dt.date(2022, 1, 17), dt.date(2022, 1, 18), dt.date(2023, 11, 23)]
+    df = spark.createDataFrame([(d,) for d in days], "d date")
+    a = dict(rows(holidays.is_holiday_usa(df, "d"), "d", "is_holiday_usa"))
+    b = dict(rows(holidays.is_holiday_usa(df, "d", years=(2021, 2023)), "d", "is_holiday_usa"))
+    assert a == b == {days[0]: True, days[1]: True, days[2]: False, days[3]: True}

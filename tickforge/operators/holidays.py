@@ -77,13 +77,26 @@ def holiday_calendar(years: DataFrame, year_col: str = "year") -> DataFrame:
     )
 
 
-def calendar_for(df: DataFrame, date_col: str, include_observed: bool = True) -> DataFrame:
+def calendar_for(
+    df: DataFrame,
+    date_col: str,
+    include_observed: bool = True,
+    years: tuple[int, int] | None = None,
+) -> DataFrame:
     """The calendar for the input's year range, one year either side (an
-    observed New Year can fall in the year before)."""
-    d = F.col(date_col).cast("date")
-    span = df.agg((F.min(F.year(d)) - 1).alias("lo"), (F.max(F.year(d)) + 1).alias("hi"))
-    years = span.select(F.explode(F.sequence("lo", "hi")).alias("year"))
-    cal = holiday_calendar(years)
+    observed New Year can fall in the year before).
+
+    ``years=(first, last)`` fixes the range instead, which saves the extra
+    read of the date column that finds it.
+    """
+    spark = df.sparkSession
+    if years is not None:
+        span = spark.range(1).select(F.lit(years[0] - 1).alias("lo"), F.lit(years[1] + 1).alias("hi"))
+    else:
+        d = F.col(date_col).cast("date")
+        span = df.agg((F.min(F.year(d)) - 1).alias("lo"), (F.max(F.year(d)) + 1).alias("hi"))
+    year_rows = span.select(F.explode(F.sequence("lo", "hi")).alias("year"))
+    cal = holiday_calendar(year_rows)
     if not include_observed:
         cal = cal.filter(~F.col("observed"))
     return cal
@@ -94,13 +107,15 @@ def is_holiday_usa(
     date_col: str,
     out_col: str = "is_holiday_usa",
     include_observed: bool = True,
+    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add a boolean: is the date a US federal holiday (or observed day)?
 
-    NULL date -> false, like a failed membership test.
+    NULL date -> false, like a failed membership test.  Dates outside a
+    given ``years`` range are false.
     """
     days = (
-        calendar_for(df, date_col, include_observed)
+        calendar_for(df, date_col, include_observed, years)
         .select(F.col("holiday_date").alias("_holiday_date"))
         .distinct()
     )
