@@ -7,8 +7,8 @@ is observed the Friday before, on a Sunday the Monday after (so New Year
 get the same rules, which is not exact before 1971.
 
 The calendar has at most 16 rows per year and its years come from the
-input's own date range, so it is small by construction and is broadcast;
-the input is never shuffled.
+input's own date range (or a given range), so it is small by construction
+and is broadcast; the input is never shuffled.
 """
 
 from __future__ import annotations
@@ -111,8 +111,8 @@ def is_holiday_usa(
 ) -> DataFrame:
     """Add a boolean: is the date a US federal holiday (or observed day)?
 
-    NULL date -> false, like a failed membership test.  Dates outside a
-    given ``years`` range are false.
+    NULL date -> false, like a failed membership test.  With a fixed
+    ``years`` range, dates more than a year outside it are false.
     """
     days = (
         calendar_for(df, date_col, include_observed, years)
