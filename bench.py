@@ -76,6 +76,15 @@ def main() -> None:
     def derive(run, grain, layout):
         return lambda: jobs.derive_job(spark, run, scratch_path(spark, "bench-out"), grain, layout=layout)
 
+    def reference_shape(run, grain):
+        """For comparison: the reference job's plan shape on built-ins - one
+        plain window per pair, then one task per output folder."""
+        def job():
+            bars = derive_bars(src.scan_bars(spark, run), grain, chunked=False)
+            out = scratch_path(spark, "bench-out")
+            bars.repartition("fsym_char1", "tsym").write.partitionBy("fsym_char1", "tsym").parquet(out)
+        return job
+
     headline = {
         "change_daily_ath": lambda: force(registry.change_daily(spark, SF_DIR)),
         "change_minute": lambda: force(registry.change_minute(spark, SF_DIR)),
@@ -87,6 +96,7 @@ def main() -> None:
         "sink_derived_range": derive(minute_run, MINUTE, "range"),
         "sink_derived_pair": derive(minute_run, MINUTE, "pair"),
         "sink_derived_bucket": derive(minute_run, MINUTE, "bucket"),
+        "reference_shape_minute": reference_shape(minute_run, MINUTE),
         "sink_derived_hour_chunk": derive(hour_run, HOUR, "chunk"),
     }
     results = {name: median_of(fn) for name, fn in headline.items()}
