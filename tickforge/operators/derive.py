@@ -51,6 +51,8 @@ from tickforge.functions.temporal import (
     unix_to_ts,
 )
 from tickforge.operators.landing import dedupe_bars
+from tickforge.plans.joins import join_small
+from tickforge.session import checkpoint_root
 
 # The numeric columns of a landed bar and the volume renames.
 NUMERIC_COLUMNS = ("open", "high", "low", "close", "volumefrom", "volumeto")
@@ -157,6 +159,8 @@ def pair_windows(
     with_ath: bool,
     chunk_seconds: int | None,
     partitioning: str = "hash",
+    split_copies_over: int | None = None,
+    copy_salts: int = 64,
 ) -> DataFrame:
     """W1 + W2: ``close_lag1`` and (optionally) ``all_time_high`` per pair.
 
@@ -171,6 +175,12 @@ def pair_windows(
     ``fsym``, chunk) - contiguous key ranges, so each task holds one or two
     output folders (few files) while a long pair is still cut by chunk;
     Spark samples the input once to set the ranges.
+
+    ``split_copies_over`` (chunked form only) also splits chunks that hold
+    more than that many rows, which only copies of the same (pair, time) can
+    cause: see ``_split_hot_chunks``.  It runs one job first (the chunk
+    summary, checkpointed); with no such chunk the plan is the plain chunked
+    one.
     """
     if partitioning not in ("hash", "range"):
         raise ValueError("partitioning must be 'hash' or 'range'")
@@ -194,7 +204,17 @@ def pair_windows(
     aggs = [F.max_by("close", order_key).alias("_last_close")]
     if with_ath:
         aggs.append(F.max(null_if_zero("high")).alias("_chunk_ath"))
+    if split_copies_over is not None:
+        aggs.append(F.count(F.lit(1)).alias("_n"))
     summary = base.groupBy(*keys, "_chunk").agg(*aggs)
+    hot = None
+    if split_copies_over is not None:
+        checkpoint_root(df.sparkSession)  # the shared folder (fails on a cluster without one)
+        summary = summary.checkpoint(eager=True)
+        hot = summary.filter(F.col("_n") > split_copies_over).select(*keys, "_chunk")
+        if hot.isEmpty():
+            hot = None
+        summary = summary.drop("_n")
 
     # 2. what each chunk inherits from the chunks before it (small window)
     w_prev = Window.partitionBy(*keys).orderBy("_chunk")
@@ -206,6 +226,8 @@ def pair_windows(
             .alias("high")
         )
     carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind"))
+    if hot is not None:
+        return _split_hot_chunks(base, carry, hot, keys, order_col, with_ath, partitioning, copy_salts)
 
     # 3. carry row first in every chunk, then the chunk's bars in time order;
     #    the one full shuffle is the window's own exchange above the union
@@ -222,6 +244,89 @@ def pair_windows(
     return out.filter(F.col("_kind") == 1).drop("_kind", "_chunk")
 
 
+def _split_hot_chunks(
+    base: DataFrame,
+    carry: DataFrame,
+    hot: DataFrame,
+    keys: list[str],
+    order_col: str,
+    with_ath: bool,
+    partitioning: str,
+    salts: int,
+) -> DataFrame:
+    """Chunked windows where some chunks hold very many copies of one time.
+
+    A chunk spans a bounded number of bar times, so a chunk over the row
+    limit holds many rows of the same (pair, time).  Their order is free
+    (window peers), so it is fixed as (time, salt, row id) and the rows of a
+    hot chunk are spread over ``salts`` window groups by salt:
+
+    1. the hot chunks (checked size, broadcast) mark their rows; each gets
+       a row id and a salt from it,
+    2. one summary row per (pair, chunk, time, salt) group of hot rows,
+       partially aggregated (at most times x salts rows per hot chunk),
+    3. a small window over those groups, started by the chunk's carry row,
+       gives each group the close of the group before it in that order and
+       the highest high up to its time (all salts of the time included),
+    4. these group carry rows precede their group in the big window, which
+       is partitioned by (pair, chunk, salt); other chunks keep salt 0 and
+       their single carry row, with time peers kept together.
+    """
+    flag = hot.withColumn("_hot", F.lit(True))
+    rows = base.withColumn("_id", F.monotonically_increasing_id())
+    rows = join_small(rows, flag, on=[*keys, "_chunk"], how="left")
+    is_hot = F.col("_hot").isNotNull()
+    rows = rows.withColumns(
+        {
+            "_salt": F.when(is_hot, F.pmod(F.col("_id"), F.lit(salts))).otherwise(F.lit(0)),
+            "_tie": F.when(is_hot, F.col("_id")).otherwise(F.lit(0)),
+        }
+    )
+
+    # 2. one row per (pair, chunk, time, salt) group of the hot chunks
+    g_aggs = [F.max_by("close", "_tie").alias("close")]
+    if with_ath:
+        g_aggs.append(F.max(null_if_zero("high")).alias("high"))
+    groups = (
+        rows.filter(is_hot)
+        .groupBy(*keys, "_chunk", order_col, "_salt")
+        .agg(*g_aggs)
+        .withColumn("_kind", F.lit(1))
+    )
+    hot_carry = carry.join(F.broadcast(flag), on=[*keys, "_chunk"]).drop("_hot")
+
+    # 3. what each group inherits: the chunk's carry row first, then groups
+    #    in (time, salt) order; the maximum's RANGE frame takes all salts of
+    #    a time as peers
+    g = groups.unionByName(hot_carry.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
+    w_close = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col, "_salt")
+    inherited = [F.lag("close").over(w_close).alias("close")]
+    if with_ath:
+        w_max = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
+        inherited.append(F.max("high").over(w_max).alias("high"))
+    group_carry = (
+        g.select(*keys, "_chunk", order_col, "_salt", "_kind", *inherited)
+        .filter(F.col("_kind") == 1)
+        .withColumns({"_lead": F.lit(1), "_kind": F.lit(0), "_tie": F.lit(-1).cast("bigint")})
+    )
+
+    # 4. one big shuffle by (pair, chunk, salt)
+    bars = rows.drop("_hot", "_id").withColumns({"_lead": F.lit(1), "_kind": F.lit(1)})
+    chunk_carry = carry.withColumns({"_lead": F.lit(0), "_salt": F.lit(0).cast("bigint")})
+    stream = bars.unionByName(chunk_carry, allowMissingColumns=True).unionByName(
+        group_carry, allowMissingColumns=True
+    )
+    if partitioning == "range":
+        stream = stream.repartitionByRange(*keys, "_chunk", "_salt")
+    w = Window.partitionBy(*keys, "_chunk", "_salt").orderBy("_lead", order_col, "_kind", "_tie")
+    out = stream.withColumn("close_lag1", F.lag("close").over(w))
+    if with_ath:
+        out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(w))
+    return out.filter((F.col("_lead") == 1) & (F.col("_kind") == 1)).drop(
+        "_lead", "_kind", "_tie", "_salt", "_chunk"
+    )
+
+
 def derive_bars(
     landed: DataFrame,
     grain: Grain | str,
@@ -229,6 +334,7 @@ def derive_bars(
     chunked: bool = True,
     partitioning: str = "hash",
     dedupe: bool = False,
+    split_copies_over: int | None = None,
     keep: tuple[str, ...] = (),
 ) -> DataFrame:
     """Landed (text) bars -> derived bars of ``grain``; lazy, no action.
@@ -249,6 +355,7 @@ def derive_bars(
         with_ath=g.ath,
         chunk_seconds=g.chunk_seconds if chunked else None,
         partitioning=partitioning,
+        split_copies_over=split_copies_over,
     )
     df = df.withColumns(
         {
