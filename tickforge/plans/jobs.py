@@ -63,6 +63,7 @@ def derive_job(
     grain: Grain | str,
     layout: str = "range",
     prefix: str | None = None,
+    split_copies_over: int | None = 1_000_000,
 ) -> None:
     """Entry 1: landed run -> derived bars of ``grain`` -> partitioned Parquet.
 
@@ -72,6 +73,10 @@ def derive_job(
     folder-clustered rebalance), ``bucket`` (one shuffle by
     (``fsym_char1``, ``tsym``) that the windows reuse; a hot bucket is one
     task).
+
+    ``split_copies_over``: a window chunk with more rows than this (only
+    copies of one (pair, time) make one that large) is spread over several
+    tasks (``operators.derive.pair_windows``); ``None`` turns the check off.
     """
     if layout not in LAYOUTS:
         raise ValueError(f"layout must be one of {LAYOUTS}")
@@ -84,6 +89,7 @@ def derive_job(
         g,
         chunked=(layout != "bucket"),
         partitioning="range" if layout == "range" else "hash",
+        split_copies_over=split_copies_over if layout != "bucket" else None,
     )
     sink_derived(bars, out_path, layout=layout)
 
