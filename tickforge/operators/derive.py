@@ -160,7 +160,6 @@ def pair_windows(
     chunk_seconds: int | None,
     partitioning: str = "hash",
     split_copies_over: int | None = None,
-    copy_salts: int = 64,
 ) -> DataFrame:
     """W1 + W2: ``close_lag1`` and (optionally) ``all_time_high`` per pair.
 
@@ -211,7 +210,9 @@ def pair_windows(
     if split_copies_over is not None:
         checkpoint_root(df.sparkSession)  # the shared folder (fails on a cluster without one)
         summary = summary.checkpoint(eager=True)
-        hot = summary.filter(F.col("_n") > split_copies_over).select(*keys, "_chunk")
+        hot = summary.filter(F.col("_n") > split_copies_over).select(
+            *keys, "_chunk", F.ceil(F.col("_n") / F.lit(split_copies_over)).alias("_salts")
+        )
         if hot.isEmpty():
             hot = None
         summary = summary.drop("_n")
@@ -227,7 +228,7 @@ def pair_windows(
         )
     carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind"))
     if hot is not None:
-        return _split_hot_chunks(base, carry, hot, keys, order_col, with_ath, partitioning, copy_salts)
+        return _split_hot_chunks(base, carry, hot, keys, order_col, with_ath, partitioning)
 
     # 3. carry row first in every chunk, then the chunk's bars in time order;
     #    the one full shuffle is the window's own exchange above the union
@@ -252,14 +253,15 @@ def _split_hot_chunks(
     order_col: str,
     with_ath: bool,
     partitioning: str,
-    salts: int,
 ) -> DataFrame:
     """Chunked windows where some chunks hold very many copies of one time.
 
     A chunk spans a bounded number of bar times, so a chunk over the row
     limit holds many rows of the same (pair, time).  Their order is free
     (window peers), so it is fixed as (time, salt, row id) and the rows of a
-    hot chunk are spread over ``salts`` window groups by salt:
+    hot chunk are spread by salt over ``_salts`` window groups (its row count
+    over the limit, rounded up, so a group stays near the limit however many
+    copies there are):
 
     1. the hot chunks (checked size, broadcast) mark their rows; each gets
        a row id and a salt from it,
@@ -278,7 +280,7 @@ def _split_hot_chunks(
     is_hot = F.col("_hot").isNotNull()
     rows = rows.withColumns(
         {
-            "_salt": F.when(is_hot, F.pmod(F.col("_id"), F.lit(salts))).otherwise(F.lit(0)),
+            "_salt": F.when(is_hot, F.pmod(F.col("_id"), F.col("_salts"))).otherwise(F.lit(0)),
             "_tie": F.when(is_hot, F.col("_id")).otherwise(F.lit(0)),
         }
     )
@@ -293,7 +295,7 @@ def _split_hot_chunks(
         .agg(*g_aggs)
         .withColumn("_kind", F.lit(1))
     )
-    hot_carry = carry.join(F.broadcast(flag), on=[*keys, "_chunk"]).drop("_hot")
+    hot_carry = carry.join(F.broadcast(flag), on=[*keys, "_chunk"]).drop("_hot", "_salts")
 
     # 3. what each group inherits: the chunk's carry row first, then groups
     #    in (time, salt) order; the maximum's RANGE frame takes all salts of
@@ -311,7 +313,7 @@ def _split_hot_chunks(
     )
 
     # 4. one big shuffle by (pair, chunk, salt)
-    bars = rows.drop("_hot", "_id").withColumns({"_lead": F.lit(1), "_kind": F.lit(1)})
+    bars = rows.drop("_hot", "_salts", "_id").withColumns({"_lead": F.lit(1), "_kind": F.lit(1)})
     chunk_carry = carry.withColumns({"_lead": F.lit(0), "_salt": F.lit(0).cast("bigint")})
     stream = bars.unionByName(chunk_carry, allowMissingColumns=True).unionByName(
         group_carry, allowMissingColumns=True
