@@ -57,19 +57,23 @@ def _typed_back(df: DataFrame, numbers=BAR_NUMBERS, whole=("time",)) -> DataFram
 
 # ------------------------------------------------------------ derive (W, N, P)
 
+# window chunks over this many rows (only copies of one (pair, time) make one
+# that large) are split by salt; see operators.derive.pair_windows
+COPY_LIMIT = 1_000_000
+
 def change_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1d + W2 + N1-N3: the derived daily bars (flagship)."""
-    return derive_bars(fx.landed_bars(spark, sf_dir, "day"), DAY)
+    return derive_bars(fx.landed_bars(spark, sf_dir, "day"), DAY, split_copies_over=COPY_LIMIT)
 
 
 def change_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1h: derived hourly bars."""
-    return derive_bars(fx.landed_bars(spark, sf_dir, "hour"), HOUR)
+    return derive_bars(fx.landed_bars(spark, sf_dir, "hour"), HOUR, split_copies_over=COPY_LIMIT)
 
 
 def change_minute(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1m: derived minute bars."""
-    return derive_bars(fx.landed_bars(spark, sf_dir, "minute"), MINUTE)
+    return derive_bars(fx.landed_bars(spark, sf_dir, "minute"), MINUTE, split_copies_over=COPY_LIMIT)
 
 
 def all_time_high(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -79,13 +83,17 @@ def all_time_high(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N1 on hourly bars."""
-    bars = derive_bars(fx.landed_bars(spark, sf_dir, "hour"), HOUR, keep=("close_lag1",))
+    bars = derive_bars(
+        fx.landed_bars(spark, sf_dir, "hour"), HOUR, split_copies_over=COPY_LIMIT, keep=("close_lag1",)
+    )
     return bars.select("fsym", "tsym", "date", "hour", "close", "close_lag1", "change")
 
 
 def pct_change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N2 on minute bars (zero closes give NULL)."""
-    bars = derive_bars(fx.landed_bars(spark, sf_dir, "minute"), MINUTE, keep=("close_lag1",))
+    bars = derive_bars(
+        fx.landed_bars(spark, sf_dir, "minute"), MINUTE, split_copies_over=COPY_LIMIT, keep=("close_lag1",)
+    )
     return bars.select("fsym", "tsym", "date", "hour", "minute", "close", "close_lag1", "pct_change")
 
 
