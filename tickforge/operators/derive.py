@@ -295,7 +295,7 @@ def _split_hot_chunks(
         .agg(*g_aggs)
         .withColumn("_kind", F.lit(1))
     )
-    hot_carry = carry.join(F.broadcast(flag), on=[*keys, "_chunk"]).drop("_hot", "_salts")
+    hot_carry = join_small(carry, flag, on=[*keys, "_chunk"]).drop("_hot", "_salts")
 
     # 3. what each group inherits: the chunk's carry row first, then groups
     #    in (time, salt) order; the maximum's RANGE frame takes all salts of

@@ -59,6 +59,8 @@ def main() -> None:
          derive_bars(landed, MINUTE)),
         ("derive minute bars from a landed run, range layout (derive-job default)",
          derive_bars(landed, MINUTE, partitioning="range")),
+        ("derive minute bars, copy split forced (split_copies_over=5: every chunk over 5 rows is hot)",
+         derive_bars(landed, MINUTE, split_copies_over=5)),
         ("back-fill cut + flatten (concat_pages)", registry.concat_pages(spark, args.sf_dir)),
         ("holiday flags (is_holiday_usa)", registry.is_holiday_usa(spark, args.sf_dir)),
         ("24 newest bars per pair (recent_bars)", registry.recent_bars(spark, args.sf_dir)),
