@@ -28,6 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -38,8 +39,11 @@ from tickforge.session import scratch_path
 
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
-SHARD_TOKENS = 4_000_000
-CACHE_WORDS = 600_000
+SHARD_TOKENS = 2_000_000
+CACHE_WORDS = 500_000
+# Fixed value: the pre-token pattern of the byte-level tokenizers.
+PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+GROUP = 100  # texts split into words at once
 END_ID = 0
 
 
@@ -50,39 +54,68 @@ class WordEncoder:
     text at once.
 
     The byte-level pre-tokenizer always starts a new pre-token at a single
-    space between two other characters, so the ids of a text are those of its
-    space-led words one after another.  The tokenizer only sees words that the
-    bounded cache lacks.
+    space before a character that is no white space, so the ids of a text are
+    those of its space-led words one after another.  The tokenizer only sees
+    words that the bounded cache lacks.
     """
 
-    #: A boundary that is certain: one space between characters that are no white space.
+    #: A space before more white space: there the boundary is not certain.
+    RUNS = re.compile(r" (?=\s)")
     BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
-    RUNS = re.compile(r"\s\s")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
+        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.words: dict[str, bytes] = {}
-
-    def _add(self, words: set[str]) -> None:
-        todo = sorted(words)
-        for word, code in zip(todo, self.tokenizer.encode_batch_fast(todo, add_special_tokens=False)):
-            self.words[word] = np.asarray(code.ids, dtype="<u4").tobytes()
+        self.parts: dict[str, bytes] = {}
+        # the byte alphabet: printable bytes as themselves, the others from 256 on
+        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
+        rest = (b for b in range(256) if b not in plain)
+        self.alphabet = {b: 256 + k for k, b in enumerate(rest)}
+        self.pattern = regex.compile(PRE_TOKENS)
+
+    def _part(self, part: str) -> bytes:
+        """Ids of one pre-token by the tokenizer's model."""
+        found = self.model.tokenize(part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.alphabet))
+        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
+
+    def _word(self, word: str) -> bytes:
+        """Ids of a word behind a space."""
+        if any(s in word for s in self.special):
+            ids = self.tokenizer.encode(" " + word, add_special_tokens=False).ids
+            return struct.pack(f"<{len(ids)}I", *ids)
+        out = []
+        for part in self.pattern.findall(" " + word):
+            code = self.parts.get(part)
+            if code is None:
+                code = self.parts[part] = self._part(part)
+            out.append(code)
+        return b"".join(out)
+
+    def _learn(self, words: set[str]) -> None:
+        if len(self.parts) > CACHE_WORDS:
+            self.parts.clear()
+        for word in words:
+            self.words[word] = self._word(word)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        split = []
-        for text in texts:
-            parts = self.BOUNDARY.split(text) if self.RUNS.search(text) else text.split(" ")
-            split.append([parts[0], *[" " + p for p in parts[1:]]])
-        if len(self.words) > CACHE_WORDS:
-            self.words = {}
-        known = self.words
-        missing = {w for parts in split for w in parts if w not in known}
+        split = [self.BOUNDARY.split(t) if self.RUNS.search(t) else t.split(" ") for t in texts]
+        starts = [parts.pop(0) for parts in split]
+        used = set().union(*split)
+        missing = used.difference(self.words)
         if missing:
-            self._add(missing)
-        return [b"".join([known[w] for w in parts]) for parts in split]
+            if len(self.words) + len(missing) > CACHE_WORDS:
+                self.words.clear()
+                missing = used
+            self._learn(missing)
+        known = self.words.__getitem__
+        first = [struct.pack(f"<{len(c.ids)}I", *c.ids)
+                 for c in self.tokenizer.encode_batch_fast(starts, add_special_tokens=False)]
+        return [a + b"".join(map(known, parts)) for a, parts in zip(first, split)]
 
 
 _ENCODERS: dict[str, WordEncoder] = {}
@@ -248,13 +281,14 @@ def write_store(docs: DataFrame, root: str, tokenizer: str) -> DataFrame:
             return row
 
         for batch in batches:
-            rows = list(rows_of(batch, "doc_id", "text"))
-            for (doc_id, _), code in zip(rows, coder.encode([t for _, t in rows])):
-                ids.append(doc_id)
-                codes.append(code + end)
-                held += len(code) // 4 + 1
-                if held >= SHARD_TOKENS:
-                    yield flush()
+            for small in (batch.slice(k, GROUP) for k in range(0, batch.num_rows, GROUP)):
+                rows = list(rows_of(small, "doc_id", "text"))
+                for (doc_id, _), code in zip(rows, coder.encode([t for _, t in rows])):
+                    ids.append(doc_id)
+                    codes.append(code + end)
+                    held += len(code) // 4 + 1
+                    if held >= SHARD_TOKENS:
+                        yield flush()
         if ids:
             yield flush()
 
