@@ -17,7 +17,7 @@ def test_wand_equals_scoring_all(spark):
         for threshold in (0.3, 0.6, 0.9):
             scores = {}
             for t in query:
-                for k, g in index.postings[t]:
+                for k, g in (x for part in index.postings[t].values() for x in part):
                     scores[k] = scores.get(k, 0) + g
             want = {k: s for k, s in scores.items() if s >= threshold}
             got = dict(index.wand(query, threshold))

@@ -96,52 +96,50 @@ class Index:
         self.terms = terms
         self.n_blocks = max(1, -(-len(self.items) // BLOCK))
         self.bound = np.zeros((len(terms), self.n_blocks), dtype=np.float32)
-        self.postings: list[list[tuple[int, float]]] = [[] for _ in terms]
+        self.postings: list[dict[int, list[tuple[int, float]]]] = [{} for _ in terms]  # by block
         for t, k, g in entries:  # items come in rising order
-            self.postings[t].append((k, g))
+            self.postings[t].setdefault(k // BLOCK, []).append((k, g))
             self.bound[t, k // BLOCK] = max(self.bound[t, k // BLOCK], g)
         self.top = self.bound.max(axis=1) if len(terms) else np.zeros(0, dtype=np.float32)
 
-    def wand(self, query: list[int], threshold: float) -> list[tuple[int, float]]:
-        """Items whose score reaches the threshold, by block-max WAND."""
-        lists = [[self.postings[t], 0, t] for t in query]
+    def wand(self, query: list[int], threshold: float, blocks: list[int] | None = None) -> list[tuple[int, float]]:
+        """Items whose score reaches the threshold, by block-max WAND.
+
+        Blocks whose bounds do not reach it are passed over (``blocks`` lists the
+        others where the caller has bounded them already); inside a block the
+        lists advance to the first item their block bounds can bring over it.
+        """
+        if blocks is None:
+            blocks = np.flatnonzero(self.bound[query].sum(axis=0) >= threshold - 1e-4).tolist() if query else []
         out = []
-        while True:
-            lists = [x for x in lists if x[1] < len(x[0])]
-            lists.sort(key=lambda x: x[0][x[1]][0])
-            total, pivot = 0.0, -1
-            for x in lists:
-                total += self.top[x[2]]
-                if total >= threshold - 1e-5:
-                    pivot = x[0][x[1]][0]
+        for block in blocks:
+            lists = [[self.postings[t][block], 0, self.bound[t, block]] for t in query if block in self.postings[t]]
+            while lists:
+                lists.sort(key=lambda x: x[0][x[1]][0])
+                total, pivot = 0.0, -1
+                for x in lists:
+                    total += x[2]
+                    if total >= threshold - 1e-4:
+                        pivot = x[0][x[1]][0]
+                        break
+                if pivot < 0:
                     break
-            if pivot < 0:
-                return out
-            block = pivot // BLOCK
-            reach = [x for x in lists if x[0][x[1]][0] <= pivot]
-            others = [x for x in lists if pivot < x[0][x[1]][0]]
-            if sum(self.bound[x[2], block] for x in reach) < threshold - 1e-5:
-                # no item up to the block's end, or the next list's item, can reach it
-                stop = min([(block + 1) * BLOCK, *(x[0][x[1]][0] for x in others)])
-                for x in reach:
-                    self._advance(x, max(stop, pivot + 1))
-                continue
-            if reach[0][0][reach[0][1]][0] < pivot:
-                for x in reach:
-                    self._advance(x, pivot)
-                continue
-            value = sum(x[0][x[1]][1] for x in reach)
-            if value >= threshold:
-                out.append((pivot, value))
-            for x in reach:
-                x[1] += 1
-
-    @staticmethod
-    def _advance(x: list, item: int) -> None:
-        postings, at = x[0], x[1]
-        while at < len(postings) and postings[at][0] < item:
-            at += 1
-        x[1] = at
+                value = 0.0
+                whole = lists[0][0][lists[0][1]][0] == pivot
+                for x in lists:
+                    item, gain = x[0][x[1]]
+                    if item > pivot:
+                        break
+                    if whole:
+                        value += gain
+                        x[1] += 1
+                    else:
+                        while x[1] < len(x[0]) and x[0][x[1]][0] < pivot:
+                            x[1] += 1
+                if whole and value >= threshold:
+                    out.append((pivot, value))
+                lists = [x for x in lists if x[1] < len(x[0])]
+        return out
 
     def search(self, texts: list[str]) -> list[dict[int, tuple[float, float, float]]]:
         """Per text: item number -> (score, question overlap, answer overlap) of verified items."""
@@ -180,8 +178,10 @@ class Index:
             lengths = ends[some] - starts[some]
             flat = np.repeat(starts[some] - (np.cumsum(lengths) - lengths), lengths) + np.arange(lengths.sum())
             bounds = np.add.reduceat(self.bound[term[flat]], np.cumsum(lengths) - lengths, axis=0)
-            for w in some[(bounds >= THRESHOLD - 1e-4).any(axis=1)]:
-                found = self.wand(term[starts[w]:ends[w]].tolist(), THRESHOLD)
+            reach = bounds >= THRESHOLD - 1e-4
+            for k in np.flatnonzero(reach.any(axis=1)):
+                w = some[k]
+                found = self.wand(term[starts[w]:ends[w]].tolist(), THRESHOLD, np.flatnonzero(reach[k]).tolist())
                 if found:
                     number = int(window[starts[w]])
                     d = int(np.searchsorted(first, number, side="right")) - 1
