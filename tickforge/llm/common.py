@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Iterator
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -22,7 +24,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Bound the Arrow batches of this session by rows and by bytes."""
+    """Bound the Arrow batches of this session by rows and by bytes, and let its
+    Python workers find this package where the driver found it."""
+    env = spark.sparkContext.environment
+    paths = [str(Path(__file__).resolve().parents[2]), *env.get("PYTHONPATH", "").split(os.pathsep)]
+    env["PYTHONPATH"] = os.pathsep.join(dict.fromkeys(p for p in paths if p))
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
