@@ -40,14 +40,14 @@ def test_split_copies_equals_plain(spark, rows, copies, chunk, partitioning):
 
 
 def test_hot_copies_are_split_across_tasks(spark):
-    """One (pair, time) repeated for ~75% of the rows: with the split, no
-    window task holds more than a third of the rows."""
+    """One (pair, time) holds ~75% of the rows, each with its own volume: with
+    the split, no window task holds more than a third of the rows."""
     cold = spark.range(0, 8000).select(
-        F.concat(F.lit("C"), (F.col("id") % 40).cast("string")).alias("fsym"), (F.col("id") * 60).alias("t"))
-    hot = spark.range(0, 24000).select(F.lit("HOT").alias("fsym"), F.lit(600).cast("bigint").alias("t"))
+        F.concat(F.lit("C"), (F.col("id") % 40).cast("string")).alias("fsym"), (F.col("id") * 60).alias("t"), "id")
+    hot = spark.range(0, 24000).select(F.lit("HOT").alias("fsym"), F.lit(600).cast("bigint").alias("t"), "id")
     bars = cold.unionByName(hot).select(
         F.col("t").cast("string").alias("time"), F.lit("1").alias("open"), F.lit("2").alias("high"),
-        F.lit("1").alias("low"), F.lit("1").alias("close"), F.lit("1").alias("volumefrom"),
+        F.lit("1").alias("low"), F.lit("1").alias("close"), F.col("id").cast("string").alias("volumefrom"),
         F.lit("1").alias("volumeto"), "fsym", F.lit("USD").alias("tsym"))
 
     def largest_share(df):
@@ -66,3 +66,28 @@ def test_hot_copies_are_split_across_tasks(spark):
     key = ["fsym", "date", "hour", "minute", "close", "change"]
     assert Counter(tuple(r) for r in split.select(*key).collect()) == \
         Counter(tuple(r) for r in plain.select(*key).collect())
+
+
+def test_split_equals_plain_after_a_shuffle(spark):
+    """Bars in any order and layout, different values at one time, NULL times
+    and adaptive coalescing: the limit changes no row."""
+    bars = spark.range(0, 4000).select(
+        F.concat(F.lit("F"), (F.col("id") % 3).cast("string")).alias("fsym"), F.lit("USD").alias("tsym"),
+        F.when(F.col("id") % 7 > 0, F.timestamp_seconds(F.col("id") % 40 * 60)).alias("ts"),
+        F.timestamp_seconds(F.col("id") % 5).alias("request_timestamp"),
+        (F.col("id") % 11).cast("double").alias("high"), (F.col("id") % 23).cast("double").alias("close"))
+    bars = bars.unionByName(bars.filter("close > 12"))  # exact copies
+    cols = ["fsym", "ts", "request_timestamp", "high", "close", "close_lag1", "all_time_high"]
+
+    def out(df, **kw):
+        return Counter(tuple(r) for r in pair_windows(df, "ts", with_ath=True, **kw).select(*cols).collect())
+
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        plain = out(bars, chunk_seconds=None)
+        for limit in (5, 20, None):
+            for partitioning in ("hash", "range"):
+                got = out(bars.repartition(64, "close", "high"), chunk_seconds=600, partitioning=partitioning, split_copies_over=limit)
+                assert got == plain
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")

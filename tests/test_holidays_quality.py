@@ -42,10 +42,22 @@ def test_rule_start_years(spark):
     assert got[None] is False
 
 
-def test_holiday_join_is_broadcast(spark):
+def test_holiday_test_is_an_expression(spark):
     df = spark.createDataFrame([(dt.date(2021, 1, 1),)], "d date")
     plan = holidays.is_holiday_usa(df, "d")._jdf.queryExecution().executedPlan().toString()
-    assert "BroadcastHashJoin" in plan or "BroadcastExchange" in plan
+    assert "Join" not in plan and "Exchange" not in plan
+
+
+def test_holiday_expression_equals_the_calendar(spark):
+    years = spark.range(1971, 2060).withColumnRenamed("id", "year")
+    days = {r["holiday_date"] for r in holidays.holiday_calendar(years.select(F.col("year").cast("int"))).collect()}
+    first = dt.date(1971, 1, 2)
+    every = [first + dt.timedelta(i) for i in range(88 * 365)]
+    got = dict(rows(holidays.is_holiday_usa(spark.createDataFrame([(d,) for d in every], "d date"), "d"), "d", "is_holiday_usa"))
+    assert got == {d: d in days for d in every}
+    old = dt.date(1968, 2, 22)
+    df = spark.createDataFrame([(old,), (None,)], "d date")
+    assert dict(rows(holidays.is_holiday_usa(df, "d"), "d", "is_holiday_usa")) == {old: None, None: False}
 
 
 def test_pair_product_keeps_duplicates_without_a_join(spark):
@@ -109,11 +121,3 @@ def test_coin_list_job_fails_on_bad_status(spark):
     docs = spark.createDataFrame([("d", 500, '{"Data": {}}')], "doc_id string, status int, body string")
     with pytest.raises(ValueError, match="HTTP 200"):
         jobs.coin_list_job(docs, scratch_path(spark, "t-coins"), "coinlist", "2018-12-23 00:00:00")
-
-
-def test_fixed_year_range_matches_data_range(spark):
-    days = [dt.date(2021, 12, 31), dt.date(2022, 1, 17), dt.date(2022, 1, 18), dt.date(2023, 11, 23)]
-    df = spark.createDataFrame([(d,) for d in days], "d date")
-    a = dict(rows(holidays.is_holiday_usa(df, "d"), "d", "is_holiday_usa"))
-    b = dict(rows(holidays.is_holiday_usa(df, "d", years=(2021, 2023)), "d", "is_holiday_usa"))
-    assert a == b == {days[0]: True, days[1]: True, days[2]: False, days[3]: True}

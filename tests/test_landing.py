@@ -144,3 +144,34 @@ def test_json_parse_strictness(spark):
     assert df.select(resp.json_parse("body", strict=False).alias("v")).first()["v"] is None
     with pytest.raises(Exception):
         df.select(resp.json_parse("body")).collect()
+
+
+def test_dedupe_compares_instants_and_keeps_unreadable_times(spark):
+    df = spark.createDataFrame(
+        [("A", "USD", t, "2018-12-23 00:00:00", c) for t, c in (("60", 1.0), ("60.0", 2.0), ("120.0", 3.0), ("bad", 4.0), ("bad", 5.0))],
+        "fsym string, tsym string, time string, request_timestamp string, close double")
+    for parts in (1, 4):
+        got = sorted(rows(landing.dedupe_bars(df.repartition(parts)), "time", "close"))
+        assert len(got) == 4 and got[-2:] == [("bad", 4.0), ("bad", 5.0)] and ("120.0", 3.0) in got
+        assert got == sorted(rows(landing.dedupe_bars(df), "time", "close"))
+
+
+def test_single_responses_keep_bars_without_volume(spark):
+    df = pages_df(spark, [page("A", 0, 200, [0, 0]), page("B", 0, 200, [1])])
+    from tickforge.plans import jobs
+    single = jobs.landing_rows(df, "2100-01-01 00:00:00", "2018-12-24 00:00:00", paged=False)
+    paged = jobs.landing_rows(df, "2100-01-01 00:00:00", "2018-12-24 00:00:00")
+    assert sorted(r["fsym"] for r in single.collect()) == ["A", "A", "B"]
+    assert [r["fsym"] for r in paged.collect()] == ["B"]
+
+
+@pytest.mark.parametrize("body", ["{bad", "[]", '{"Message": "x"}', None])
+def test_bad_pages_fail_the_job(spark, body):
+    good, bad = page("A", 0, 200, [1]), page("A", 1, 200, [1])
+    df = pages_df(spark, [good, bad]).withColumn("body", F.when(F.col("page_no") == 1, F.lit(body)).otherwise(F.col("body")))
+    with pytest.raises(Exception):
+        landing.backfill_cut(df).collect()
+    with pytest.raises(Exception):
+        resp.flatten_bars(df).collect()
+    failed = df.withColumn("status", F.when(F.col("page_no") == 1, F.lit(500)).otherwise(F.col("status")))
+    assert landing.backfill_cut(failed).count() == 1

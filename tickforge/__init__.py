@@ -8,7 +8,6 @@ Sub-packages:
 * ``sources``    - readers for landed Parquet and landed API responses
 * ``sinks``      - Parquet / text writers
 * ``plans``      - whole jobs composed from the above, join helpers
-* ``streaming``  - intentionally empty (no streaming in scope)
 """
 
 from tickforge.session import ensure_utc, get_session, scratch_path, sizing_conf  # noqa: F401

@@ -16,9 +16,10 @@ def clean_double(c: Column | str) -> Column:
     ``try_cast`` turns 'None' / '' into NULL instead of failing under ANSI
     mode; ``nanvl`` then turns NaN (from 'nan') into NULL, because ``max``
     ranks NaN above every number and one NaN would stick in a running
-    maximum for good.
+    maximum for good.  Infinity ('inf') would stick likewise and is NULL too.
     """
-    return F.nanvl(_c(c).try_cast("double"), F.lit(None).cast("double"))
+    number, none = F.nanvl(_c(c).try_cast("double"), F.lit(None).cast("double")), F.lit(None).cast("double")
+    return F.when(F.abs(number) == F.lit(float("inf")), none).otherwise(number)
 
 
 def null_if_zero(c: Column | str) -> Column:

@@ -59,6 +59,7 @@ NUMERIC_COLUMNS = ("open", "high", "low", "close", "volumefrom", "volumeto")
 VOLUME_RENAMES = {"volumefrom": "volume_fsym", "volumeto": "volume_tsym"}
 PAIR_KEYS = ("fsym_char1", "tsym", "fsym")
 _LOWEST = -(2**63) + 1  # ordering key for bars without a time
+TIE = ("_request", "_hash")  # order among bars of one time, see _with_tie
 
 
 @dataclass(frozen=True)
@@ -152,6 +153,20 @@ def _with_bucket(df: DataFrame) -> DataFrame:
     return df.withColumn("fsym_char1", symbol_bucket("fsym"))
 
 
+def _with_tie(df: DataFrame) -> DataFrame:
+    """The order among bars of one time: their request, then a hash of their
+    values.  Bars equal in these are alike in any order; no other column is read."""
+    values = [c for c in (*NUMERIC_COLUMNS, *VOLUME_RENAMES.values()) if c in df.columns]
+    request = F.col("request_timestamp") if "request_timestamp" in df.columns else F.lit(None).cast("timestamp")
+    return df.withColumns({"_request": request, "_hash": F.xxhash64(*values)})
+
+
+def _chunk_key(keys: list[str]) -> Column:
+    """One number for (pair, chunk), NULLs included; marking a chunk as hot by
+    a clash changes no result."""
+    return F.xxhash64(*keys, "_chunk").alias("_k")
+
+
 def pair_windows(
     df: DataFrame,
     order_col: str,
@@ -175,32 +190,35 @@ def pair_windows(
     output folders (few files) while a long pair is still cut by chunk;
     Spark samples the input once to set the ranges.
 
+    Bars of one (pair, time) follow each other by request time, then by a hash
+    of their content, in every form.
+
     ``split_copies_over`` (chunked form only) also splits chunks that hold
-    more than that many rows, which only copies of the same (pair, time) can
-    cause: see ``_split_hot_chunks``.  It runs one job first (the chunk
+    more than that many rows, which only rows of the same (pair, time) can
+    cause: see ``_split_hot_chunks``.  The rows of the result do not depend on it.  It runs one job first (the chunk
     summary, checkpointed); with no such chunk the plan is the plain chunked
     one.
     """
     if partitioning not in ("hash", "range"):
         raise ValueError("partitioning must be 'hash' or 'range'")
-    df = _with_bucket(df)
+    df = _with_tie(_with_bucket(df))
     keys = list(PAIR_KEYS)
     if chunk_seconds is None:
-        w = Window.partitionBy(*keys).orderBy(order_col)
+        w = Window.partitionBy(*keys).orderBy(order_col, *TIE)
         out = df.withColumn("close_lag1", F.lag("close").over(w))
         if with_ath:
+            w = Window.partitionBy(*keys).orderBy(order_col)  # RANGE: bars of one time are peers
             out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(w))
-        return out
+        return out.drop(*TIE)
 
     chunk = F.floor(F.unix_seconds(F.col(order_col)) / F.lit(chunk_seconds))
     base = df.withColumn("_chunk", chunk)
 
     # 1. one summary row per (pair, chunk), partially aggregated before its
-    #    own small shuffle (it reads only the key, time, close and high
-    #    columns); a fixed-width ordering keeps it a hash aggregate, and a
-    #    NULL time still ranks (lowest)
+    #    own small shuffle; the last close follows the window's whole order
+    #    (time, request, content), and a NULL time still ranks (lowest)
     order_key = F.coalesce(F.unix_micros(F.col(order_col)), F.lit(_LOWEST))
-    aggs = [F.max_by("close", order_key).alias("_last_close")]
+    aggs = [F.max_by("close", F.struct(order_key, *TIE)).alias("_last_close")]
     if with_ath:
         aggs.append(F.max(null_if_zero("high")).alias("_chunk_ath"))
     if split_copies_over is not None:
@@ -211,7 +229,7 @@ def pair_windows(
         checkpoint_root(df.sparkSession)  # the shared folder (fails on a cluster without one)
         summary = summary.checkpoint(eager=True)
         hot = summary.filter(F.col("_n") > split_copies_over).select(
-            *keys, "_chunk", F.ceil(F.col("_n") / F.lit(split_copies_over)).alias("_salts")
+            _chunk_key(keys), F.ceil(F.col("_n") / F.lit(split_copies_over)).alias("_salts")
         )
         if hot.isEmpty():
             hot = None
@@ -236,13 +254,14 @@ def pair_windows(
     stream = base.withColumn("_kind", F.lit(1)).unionByName(carry, allowMissingColumns=True)
     if partitioning == "range":
         stream = stream.repartitionByRange(*keys, "_chunk")
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
+    w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col, *TIE)
     out = stream.withColumn("close_lag1", F.lag("close").over(w))
     if with_ath:
+        w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
         out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(w))
 
     # 4. drop the carry rows
-    return out.filter(F.col("_kind") == 1).drop("_kind", "_chunk")
+    return out.filter(F.col("_kind") == 1).drop("_kind", "_chunk", *TIE)
 
 
 def _split_hot_chunks(
@@ -254,79 +273,87 @@ def _split_hot_chunks(
     with_ath: bool,
     partitioning: str,
 ) -> DataFrame:
-    """Chunked windows where some chunks hold very many copies of one time.
-
-    A chunk spans a bounded number of bar times, so a chunk over the row
-    limit holds many rows of the same (pair, time).  Their order is free
-    (window peers), so it is fixed as (time, salt, row id) and the rows of a
-    hot chunk are spread by salt over ``_salts`` window groups (its row count
-    over the limit, rounded up, so a group stays near the limit however many
-    copies there are):
-
-    1. the hot chunks (checked size, broadcast) mark their rows; each gets
-       a row id and a salt from it,
-    2. one summary row per (pair, chunk, time, salt) group of hot rows,
-       partially aggregated (at most times x salts rows per hot chunk),
+    """Chunked windows where some chunks hold very many rows of one time.
+
+    Rows of one time are ordered by request and by a hash of their content
+    (``TIE``), in every form of the window, so no position of a row matters.
+    The rows of a hot chunk are spread by salt over ``_salts`` window groups; the
+    salt grows with the content hash, so (time, request, salt, hash) is the same
+    order whatever the number of salts:
+
+    1. the hot chunks (checked size, broadcast) mark their rows by a hash of
+       (pair, chunk), which NULL keys have too; exact copies become one row with
+       a count, partially aggregated,
+    2. one summary row per (pair, chunk, time, request, salt) group of hot rows,
     3. a small window over those groups, started by the chunk's carry row,
        gives each group the close of the group before it in that order and
-       the highest high up to its time (all salts of the time included),
+       the highest high up to its time (all groups of the time included),
     4. these group carry rows precede their group in the big window, which
        is partitioned by (pair, chunk, salt); other chunks keep salt 0 and
-       their single carry row, with time peers kept together.
+       their single carry row,
+    5. copies are put back one by one as the rows stream out: the second and
+       later ones follow a bar that is like them, so their lag is their own close.
     """
     flag = hot.withColumn("_hot", F.lit(True))
-    rows = base.withColumn("_id", F.monotonically_increasing_id())
-    rows = join_small(rows, flag, on=[*keys, "_chunk"], how="left")
+    columns = base.columns
+    rows = join_small(base.withColumn("_k", _chunk_key(keys)), flag, on=["_k"], how="left")
     is_hot = F.col("_hot").isNotNull()
-    rows = rows.withColumns(
-        {
-            "_salt": F.when(is_hot, F.pmod(F.col("_id"), F.col("_salts"))).otherwise(F.lit(0)),
-            "_tie": F.when(is_hot, F.col("_id")).otherwise(F.lit(0)),
-        }
+    spread = F.floor((F.col("_hash").cast("double") / F.lit(2.0**64) + 0.5) * F.col("_salts"))
+    hot_rows = (
+        rows.filter(is_hot)
+        .groupBy(*columns, "_salts")
+        .agg(F.count(F.lit(1)).alias("_copies"))
+        .withColumn("_salt", F.least(spread, F.col("_salts") - 1).cast("bigint"))
+        .select(*columns, "_salt", "_copies")
+    )
+    cold_rows = rows.filter(~is_hot).select(
+        *columns, F.lit(0).cast("bigint").alias("_salt"), F.lit(1).cast("bigint").alias("_copies")
     )
 
-    # 2. one row per (pair, chunk, time, salt) group of the hot chunks
-    g_aggs = [F.max_by("close", "_tie").alias("close")]
+    # 2. one row per (pair, chunk, time, request, salt) group of the hot chunks
+    g_aggs = [F.max_by("close", "_hash").alias("close")]
     if with_ath:
         g_aggs.append(F.max(null_if_zero("high")).alias("high"))
     groups = (
-        rows.filter(is_hot)
-        .groupBy(*keys, "_chunk", order_col, "_salt")
+        hot_rows.groupBy(*keys, "_chunk", order_col, "_request", "_salt")
         .agg(*g_aggs)
         .withColumn("_kind", F.lit(1))
     )
-    hot_carry = join_small(carry, flag, on=[*keys, "_chunk"]).drop("_hot", "_salts")
+    hot_carry = join_small(carry.withColumn("_k", _chunk_key(keys)), flag, on=["_k"]).drop("_hot", "_salts", "_k")
 
-    # 3. what each group inherits: the chunk's carry row first, then groups
-    #    in (time, salt) order; the maximum's RANGE frame takes all salts of
-    #    a time as peers
+    # 3. what each group inherits: the chunk's carry row first, then groups in
+    #    order; the maximum's RANGE frame takes all groups of a time as peers
     g = groups.unionByName(hot_carry.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-    w_close = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col, "_salt")
+    w_close = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col, "_request", "_salt")
     inherited = [F.lag("close").over(w_close).alias("close")]
     if with_ath:
         w_max = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
         inherited.append(F.max("high").over(w_max).alias("high"))
     group_carry = (
-        g.select(*keys, "_chunk", order_col, "_salt", "_kind", *inherited)
+        g.select(*keys, "_chunk", order_col, "_request", "_salt", "_kind", *inherited)
         .filter(F.col("_kind") == 1)
-        .withColumns({"_lead": F.lit(1), "_kind": F.lit(0), "_tie": F.lit(-1).cast("bigint")})
+        .withColumns({"_lead": F.lit(1), "_kind": F.lit(0)})
     )
 
     # 4. one big shuffle by (pair, chunk, salt)
-    bars = rows.drop("_hot", "_salts", "_id").withColumns({"_lead": F.lit(1), "_kind": F.lit(1)})
+    bars = hot_rows.unionByName(cold_rows).withColumns({"_lead": F.lit(1), "_kind": F.lit(1)})
     chunk_carry = carry.withColumns({"_lead": F.lit(0), "_salt": F.lit(0).cast("bigint")})
     stream = bars.unionByName(chunk_carry, allowMissingColumns=True).unionByName(
         group_carry, allowMissingColumns=True
     )
     if partitioning == "range":
         stream = stream.repartitionByRange(*keys, "_chunk", "_salt")
-    w = Window.partitionBy(*keys, "_chunk", "_salt").orderBy("_lead", order_col, "_kind", "_tie")
-    out = stream.withColumn("close_lag1", F.lag("close").over(w))
+    parts = Window.partitionBy(*keys, "_chunk", "_salt")
+    out = stream.withColumn("close_lag1", F.lag("close").over(
+        parts.orderBy("_lead", order_col, "_request", "_kind", "_hash")))
     if with_ath:
-        out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(w))
-    return out.filter((F.col("_lead") == 1) & (F.col("_kind") == 1)).drop(
-        "_lead", "_kind", "_tie", "_salt", "_chunk"
-    )
+        out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(parts.orderBy("_lead", order_col)))
+
+    # 5. drop the carry rows, put the copies back
+    out = out.filter((F.col("_lead") == 1) & (F.col("_kind") == 1)).withColumn(
+        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+    return out.withColumn("close_lag1", F.when(F.col("_copy") == 1, F.col("close_lag1")).otherwise(F.col("close"))).drop(
+        "_lead", "_kind", "_copy", "_copies", "_salt", "_chunk", *TIE)
 
 
 def derive_bars(
@@ -348,7 +375,7 @@ def derive_bars(
     g = grain_of(grain)
     df = typed_bars(landed)
     if dedupe:
-        df = dedupe_bars(df.withColumn("time", F.col("time").try_cast("bigint")))
+        df = dedupe_bars(df)
     df = add_bar_time(df, g)
     df = rename_volumes(df)
     df = pair_windows(

@@ -3,12 +3,9 @@
 The calendar is generated from the public federal rules, one row per
 holiday and year, plus "observed" rows: a fixed-date holiday on a Saturday
 is observed the Friday before, on a Sunday the Monday after (so New Year
-2022 is observed on 2021-12-31).  The rules hold from 1971 on; earlier years
-get the same rules, which is not exact before 1971.
+2022 is observed on 2021-12-31).  The rules hold from 1971 on.
 
-The calendar has at most 16 rows per year and its years come from the
-input's own date range (or a given range), so it is small by construction
-and is broadcast; the input is never shuffled.
+The membership test needs no calendar: it is an expression over the date.
 """
 
 from __future__ import annotations
@@ -34,6 +31,7 @@ HOLIDAY_RULES = (
     ("Christmas Day", 12, ("date", 25), None, None, True),
 )
 OBSERVED_SUFFIX = " (observed)"
+FIRST_YEAR = 1971
 
 
 def _rule_date(year: Column, month: int, rule: tuple) -> Column:
@@ -77,29 +75,30 @@ def holiday_calendar(years: DataFrame, year_col: str = "year") -> DataFrame:
     )
 
 
-def calendar_for(
-    df: DataFrame,
-    date_col: str,
-    include_observed: bool = True,
-    years: tuple[int, int] | None = None,
-) -> DataFrame:
-    """The calendar for the input's year range, one year either side (an
-    observed New Year can fall in the year before).
+def is_holiday(date: Column, include_observed: bool = True) -> Column:
+    """Whether a date is a federal holiday (or its observed day), from the date
+    alone: its own year's holidays, and the next New Year observed on 31 December.
 
-    ``years=(first, last)`` fixes the range instead, which saves the extra
-    read of the date column that finds it.
+    NULL before 1971, whose rules are not known here.
     """
-    spark = df.sparkSession
-    if years is not None:
-        span = spark.range(1).select(F.lit(years[0] - 1).alias("lo"), F.lit(years[1] + 1).alias("hi"))
-    else:
-        d = F.col(date_col).cast("date")
-        span = df.agg((F.min(F.year(d)) - 1).alias("lo"), (F.max(F.year(d)) + 1).alias("hi"))
-    year_rows = span.select(F.explode(F.sequence("lo", "hi")).alias("year"))
-    cal = holiday_calendar(year_rows)
-    if not include_observed:
-        cal = cal.filter(~F.col("observed"))
-    return cal
+    def hits(year: Column, name: str, month: int, rule: tuple, lo: int | None, hi: int | None, observed: bool, own: bool):
+        day = _rule_date(year, month, rule)
+        found = date == day if own else F.lit(False)
+        if observed and include_observed:
+            dow = F.dayofweek(day)  # 1 = Sunday, 7 = Saturday
+            found = found | ((dow == 7) & (date == F.date_sub(day, 1))) | ((dow == 1) & (date == F.date_add(day, 1)))
+        if lo is not None:
+            found = found & (year >= lo)
+        if hi is not None:
+            found = found & (year <= hi)
+        return found
+
+    year = F.year(date)
+    found = F.lit(False)
+    for entry in HOLIDAY_RULES:
+        found = found | hits(year, *entry, own=True)
+    new_year = hits(year + 1, *HOLIDAY_RULES[0], own=False) & (F.month(date) == 12)
+    return F.when(year >= FIRST_YEAR, found | new_year)
 
 
 def is_holiday_usa(
@@ -107,19 +106,11 @@ def is_holiday_usa(
     date_col: str,
     out_col: str = "is_holiday_usa",
     include_observed: bool = True,
-    years: tuple[int, int] | None = None,
 ) -> DataFrame:
     """Add a boolean: is the date a US federal holiday (or observed day)?
 
-    NULL date -> false, like a failed membership test.  With a fixed
-    ``years`` range, dates more than a year outside it are false.
+    A column expression: no calendar, join or further read of the input.  NULL
+    date -> false, like a failed membership test; NULL for dates before 1971.
     """
-    days = (
-        calendar_for(df, date_col, include_observed, years)
-        .select(F.col("holiday_date").alias("_holiday_date"))
-        .distinct()
-    )
-    joined = df.join(
-        F.broadcast(days), F.col(date_col).cast("date") == F.col("_holiday_date"), "left"
-    )
-    return joined.withColumn(out_col, F.col("_holiday_date").isNotNull()).drop("_holiday_date")
+    date = F.col(date_col).cast("date")
+    return df.withColumn(out_col, F.when(date.isNull(), F.lit(False)).otherwise(is_holiday(date, include_observed)))

@@ -14,9 +14,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickforge.functions.symbols import symbol_bucket
-from tickforge.functions.temporal import date_parts, unix_to_ts
+from tickforge.functions.temporal import date_parts, parse_timestamp, unix_to_ts
 from tickforge.plans.joins import join_small
-from tickforge.sources.responses import BAR_PAGE_SCHEMA, OK_STATUS, explode_rows, json_parse
+from tickforge.sources.responses import OK_STATUS, bar_data, explode_rows
 
 PAIR = ("fsym", "tsym")
 # volume-only view of a page: enough to decide A2 without materialising bars
@@ -34,8 +34,11 @@ def page_all_zero(data: Column | str) -> Column:
 
 
 def page_flags(pages: DataFrame, body: str = "body") -> DataFrame:
-    """Page metadata plus ``all_zero`` and ``stop`` (non-200 or all zero)."""
-    data = json_parse(body, _VOLUME_SCHEMA).getField("Data")
+    """Page metadata plus ``all_zero`` and ``stop`` (non-200 or all zero).
+
+    A malformed page with status 200 is no stop: it fails the job (``bar_data``).
+    """
+    data = bar_data(body, _VOLUME_SCHEMA)
     all_zero = page_all_zero(data)
     stop = ~F.col("status").eqNullSafe(F.lit(OK_STATUS)) | F.coalesce(all_zero, F.lit(True))
     return pages.select(*PAIR, "page_no", "status", all_zero.alias("all_zero"), stop.alias("stop"))
@@ -63,7 +66,7 @@ def backfill_cut(pages: DataFrame, body: str = "body", max_pairs: int = 2_000_00
 
 def concat_pages(pages: DataFrame, keep: tuple[str, ...] = PAIR) -> DataFrame:
     """The bars of all given pages as one list of rows."""
-    data = F.col("Data") if "Data" in pages.columns else json_parse("body", BAR_PAGE_SCHEMA).getField("Data")
+    data = F.col("Data") if "Data" in pages.columns else bar_data()
     return explode_rows(pages, data, keep).select(*keep, "_item.*")
 
 
@@ -107,23 +110,35 @@ def recent_bars(df: DataFrame, n: int, time_col: str = "time") -> DataFrame:
     """O3: the ``n`` newest bars of each pair, with their rank (1 = newest).
 
     ``row_number() <= n`` lets Spark put a per-pair top-n limit on both
-    sides of the shuffle, so at most ``n`` rows per pair and task move.
+    sides of the shuffle, so at most ``n`` rows per pair and task move.  Bars of
+    one time rank by request, newest first, then by a hash of their columns.
     """
-    w = Window.partitionBy(*PAIR).orderBy(F.col(time_col).desc())
+    w = Window.partitionBy(*PAIR).orderBy(F.col(time_col).desc(), *_newest_first(df))
     return df.withColumn("recent_rank", F.row_number().over(w)).filter(F.col("recent_rank") <= n)
 
 
+def _newest_first(df: DataFrame, newest_by: str = "request_timestamp") -> list[Column]:
+    """Tie order of bars of one time: newest request first, then a hash of all columns."""
+    newest = [parse_timestamp(newest_by).desc_nulls_last()] if newest_by in df.columns else []
+    return [*newest, F.xxhash64(*df.columns)]
+
+
 def dedupe_bars(
     df: DataFrame,
-    keys: tuple[str, ...] = ("fsym", "tsym", "time"),
+    keys: tuple[str, ...] = PAIR,
+    time_col: str = "time",
     newest_by: str = "request_timestamp",
 ) -> DataFrame:
     """Keep one bar per (pair, time): the one from the newest request.
 
     Back-fill pages overlap at their borders, so a bar can land twice.  Off
-    by default everywhere (nothing is dropped silently).  ``row_number() =
-    1`` lets Spark keep only the newest row per key inside each task before
-    the shuffle; the key includes the bar time, so no group is large.
+    by default everywhere (nothing is dropped silently).  Times are compared
+    as instants (``unix_to_ts``: ``'60'`` and ``'60.0'`` are one time); bars
+    whose time is unreadable are all kept.  ``row_number() = 1`` lets Spark
+    keep only the newest row per key inside each task before the shuffle; the
+    key includes the bar time, so no group is large.
     """
-    w = Window.partitionBy(*keys).orderBy(F.col(newest_by).desc_nulls_last())
-    return df.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1).drop("_rn")
+    timed = df.withColumn("_instant", unix_to_ts(time_col))
+    w = Window.partitionBy(*keys, "_instant").orderBy(*_newest_first(df, newest_by))
+    once = timed.filter(F.col("_instant").isNotNull()).withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
+    return once.drop("_rn").unionByName(timed.filter(F.col("_instant").isNull())).drop("_instant")

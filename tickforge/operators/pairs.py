@@ -75,9 +75,8 @@ def request_manifest(
     """
     if grain not in ENDPOINT_PATHS:
         raise ValueError(f"grain must be one of {sorted(ENDPOINT_PATHS)}")
-    head = F.format_string(
-        f"{base_url.rstrip('/')}/{ENDPOINT_PATHS[grain]}?fsym=%s&tsym=%s", "fsym", "tsym"
-    )
+    start = f"{base_url.rstrip('/')}/{ENDPOINT_PATHS[grain]}?fsym="
+    head = F.concat(F.lit(start), "fsym", F.lit("&tsym="), "tsym")
     if all_data and grain == "day":
         middle = F.lit("&allData=true")
     elif all_data:

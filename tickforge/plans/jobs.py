@@ -29,14 +29,18 @@ from tickforge.sources.landed import (
 from tickforge.sources.responses import flatten_bars, flatten_charts, flatten_coins
 
 
-def landing_rows(pages: DataFrame, as_of: str, request_ts: str) -> DataFrame:
+def landing_rows(pages: DataFrame, as_of: str, request_ts: str, paged: bool = True) -> DataFrame:
     """Entry 2 up to the write: pages -> W3 -> S5 -> P6/D1/D10 -> P5 -> O1 -> P7.
 
+    Only a paged back-fill stops at its first all-zero or failed page; single
+    responses (``paged=False``: day bars, or a request with a limit) all land,
+    bars without volume included.
+
     Data columns become text; the partition columns stay typed (they become
     folder names).  Rows are clustered by partition folder and sorted by
     numeric ``time`` inside each file before they become text.
     """
-    kept = backfill_cut(pages)
+    kept = backfill_cut(pages) if paged else pages
     bars = flatten_bars(kept, keep=("fsym", "tsym"))
     stamped = stamp_columns(bars, request_ts)
     cut = cutoff_filter(stamped, last_utc_close(F.lit(as_of)))
@@ -49,10 +53,23 @@ def landing_rows(pages: DataFrame, as_of: str, request_ts: str) -> DataFrame:
     )
 
 
-def landing_job(pages: DataFrame, root: str, run_id: str, as_of: str, request_ts: str) -> str:
-    """Land one back-fill run under ``<root>/run=<run_id>``; returns that folder."""
+def landing_job(
+    pages: DataFrame,
+    root: str,
+    run_id: str,
+    as_of: str,
+    request_ts: str,
+    grain: Grain | str = "minute",
+    all_data: bool = True,
+) -> str:
+    """Land one run under ``<root>/run=<run_id>``; returns that folder.
+
+    Hour and minute history (``all_data``) comes in pages and is cut; day bars
+    and limited requests are single responses and land whole.
+    """
     path = run_path(root, run_id)
-    sink_landing(landing_rows(pages, as_of, request_ts), path, cluster=False)
+    paged = all_data and not grain_of(grain).date_is_timestamp
+    sink_landing(landing_rows(pages, as_of, request_ts, paged), path, cluster=False)
     return path
 
 

@@ -24,14 +24,12 @@ OK_STATUS = 200
 def json_parse(body: Column | str, schema: str | None = None, strict: bool = True) -> Column:
     """JSON text -> nested value.
 
-    With a schema: ``from_json`` (NULL fields for a non-matching document).
-    Without: ``parse_json`` to VARIANT, which fails the job on malformed
-    text like the reference's parse did; ``strict=False`` gives NULL instead
-    (``try_parse_json``).
+    With a schema: ``from_json``; without: ``parse_json`` to VARIANT.  Both fail
+    the job on malformed text; ``strict=False`` gives NULL instead.
     """
     body = F.col(body) if isinstance(body, str) else body
     if schema:
-        return F.from_json(body, schema)
+        return F.from_json(body, schema, {"mode": "FAILFAST"} if strict else {})
     return F.parse_json(body) if strict else F.try_parse_json(body)
 
 
@@ -43,11 +41,11 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     files are spread over tasks by Spark's file listing.
     """
     docs = spark.read.option("wholetext", True).option("basePath", path).text(path)
-    return docs.select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("value").alias("body"),
-        *[c for c in docs.columns if c != "value"],
-    )
+    names = [c for c in docs.columns if c != "value"]
+    # folder values are text as they are written: '007' stays '007'
+    typed = ", ".join(["value STRING", *[f"`{c}` STRING" for c in names]])
+    docs = spark.read.schema(typed).option("wholetext", True).option("basePath", path).text(path)
+    return docs.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"), *names)
 
 
 def map_values(m: Column | str) -> Column:
@@ -76,10 +74,21 @@ def parse_bar_pages(pages: DataFrame, body: str = "body") -> DataFrame:
     ).drop(body)
 
 
+def bar_data(body: Column | str = "body", schema: str = BAR_PAGE_SCHEMA) -> Column:
+    """The ``Data`` array of a bar page.
+
+    A page with status 200 whose body is no JSON of the schema, or has no
+    ``Data``, fails the job; bodies of failed requests may be anything.
+    """
+    data = json_parse(body, schema, strict=False).getField("Data")
+    missing = F.when(F.col("status") == OK_STATUS, F.raise_error(F.lit("bar page with status 200 but without Data")))
+    return F.coalesce(data, missing)
+
+
 def flatten_bars(pages: DataFrame, keep: tuple[str, ...] = ("fsym", "tsym", "page_no")) -> DataFrame:
     """Bar pages -> one row per bar; non-200 and empty pages give no rows."""
     ok = pages.filter(F.col("status") == OK_STATUS)
-    data = F.col("Data") if "Data" in ok.columns else json_parse("body", BAR_PAGE_SCHEMA).getField("Data")
+    data = F.col("Data") if "Data" in ok.columns else bar_data()
     return explode_rows(ok, data, keep).select(*keep, "_item.*")
 
 
