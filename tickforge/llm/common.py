@@ -16,6 +16,7 @@ from tickforge.session import scratch_path
 # run of very long texts cannot fill a worker.
 BATCH_ROWS = 2_000
 BATCH_BYTES = 16 << 20
+SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -35,10 +36,16 @@ def bound_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder below the shared checkpoint root and read
-    it back: computed once, lineage cut, safe against lost executors."""
+    it back: computed once, lineage cut, safe against lost executors.  The
+    shuffle files of the write go once it has committed: nothing reads them again."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(SHUFFLE_CLEANUP, "false")
+    spark.conf.set(SHUFFLE_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(SHUFFLE_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
