@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import numpy as np
 import pytest
 
 from tests.llm.conftest import ODD
@@ -48,9 +49,9 @@ def variants(rnd, n):
     return out
 
 
-@pytest.mark.parametrize("share", [N.FREQUENT, 0.05])
-def test_equals_brute_force(spark, make_docs, some_docs, monkeypatch, share):
-    monkeypatch.setattr(N, "FREQUENT", share)
+@pytest.mark.parametrize("bits", [N.COUNTER_BITS, 12])
+def test_equals_brute_force(spark, make_docs, some_docs, monkeypatch, bits):
+    monkeypatch.setattr(N, "COUNTER_BITS", bits)
     rnd = random.Random(3)
     rows = list(some_docs) + ODD
     line = " ".join(f"common{i}" for i in range(12))
@@ -96,3 +97,13 @@ def test_components_of_chains(spark):
     pairs = [(i, i + 1) for i in range(0, 60)] + [(100, 101), (103, 101), (7, 7)]
     got = {r["id"]: r["comp"] for r in components(spark.createDataFrame(pairs, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 103: 100}
+
+
+def test_the_map_bound_is_never_below_the_overlap():
+    rnd = np.random.default_rng(5)
+    for n, m in [(1, 1), (3, 4), (40, 30), (300, 290), (5_000, 700)]:
+        for part in (0.0, 0.5, 0.9, 1.0):
+            both = rnd.integers(0, 1 << 32, int(part * min(n, m)), dtype=np.uint32)
+            x, y = (np.unique(np.concatenate([both, rnd.integers(0, 1 << 32, k - len(both), dtype=np.uint32)])) for k in (n, m))
+            shared = len(np.intersect1d(x, y))
+            assert shared <= N.most_shared(len(x), len(y), N.bit_map(x), N.bit_map(y)) <= min(len(x), len(y))

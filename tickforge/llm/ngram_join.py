@@ -1,13 +1,17 @@
 """N-gram Jaccard join (10): blocked sparse product of documents by shingles.
 
 The incidence matrix has a row per distinct word sequence and a column per
-five-word shingle.  Columns are ordered, frequent shingles last, then by hash.
+five-word shingle.  Columns are ordered by how often they occur, rare ones
+first, then by hash; counts come from a sketch of fixed size over all documents
+(any order gives the same result, this one keeps the shared columns short).
 Sizes bound the product: two sets of n and m shingles reach a similarity of
 3/4 only if they share a column among the first ``n // 4 + 1`` and ``m // 4 + 1``
 of their own, and if 4 min(n, m) >= 3 max(n, m).  The first block of columns is
 therefore multiplied by bucket (column) over those prefixes only; pairs below
-the size bound are discarded, and the remaining blocks are accumulated only
-for the pairs left, as the exact overlap of the two rows.
+the size bound are discarded.  Of the pairs left, each row first sends a bit map
+of its columns: a bit set in one map only is a column of that row only, which
+bounds the overlap from above and discards most pairs.  The remaining blocks
+are accumulated for the others, as the exact overlap of the two rows.
 
 Documents with the same word sequence are one row.  Rows are kept as sorted
 32-bit shingle hashes (sizes come from 64-bit ones); an overlap can only be
@@ -18,7 +22,7 @@ groups (``linking``), so a family of near copies costs linear work.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -31,11 +35,11 @@ from tickforge.llm.linking import components, link_buckets
 
 SHINGLE = 5
 PER_CENT = 75
-# A shingle of at least this share of the documents goes last in the column
-# order.  There are at most (mean set size / FREQUENT) of them, so their list
-# is bounded whatever the corpus; it changes the work, never the result.
-FREQUENT = 0.0004
-CHUNK_SHINGLES = 8_000_000
+# The counters of the column order: one byte each at the driver and in every
+# worker (4 MiB), whatever the corpus.
+COUNTER_BITS = 22
+_BLOCK = 4_096
+MAP_BITS = 2  # bits of a row's map for each of its columns, rounded up to a power of two
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -56,79 +60,104 @@ def shingle_set(text: str) -> tuple[int, int, np.ndarray]:
     return key, len(h), np.unique((h >> np.uint64(32)).astype("<u4"))
 
 
+def bit_map(cols: np.ndarray) -> bytes:
+    """The map of sorted 32-bit columns: the leading bits of each say which bit is set."""
+    width = max(3, int(MAP_BITS * len(cols) - 1).bit_length())
+    bits = np.zeros(1 << width, dtype=bool)
+    bits[cols >> np.uint32(32 - width)] = True
+    return np.packbits(bits).tobytes()
+
+
+def most_shared(n: int, m: int, one: bytes, two: bytes) -> int:
+    """The largest overlap that the maps of two rows of n and m columns allow."""
+    x, y = np.unpackbits(np.frombuffer(one, "u1")), np.unpackbits(np.frombuffer(two, "u1"))
+    width = min(len(x), len(y))  # the finer map is folded to the coarser one
+    x, y = x.reshape(width, -1).any(axis=1), y.reshape(width, -1).any(axis=1)
+    return min(n - int(np.count_nonzero(x & ~y)), m - int(np.count_nonzero(y & ~x)))
+
+
 def shingle_sets(docs: DataFrame) -> DataFrame:
-    """``rid, doc_id, id, n, cols`` from ``rid, doc_id, text``; ``cols`` (the
-    sorted 32-bit hashes as bytes) is null where an earlier row of the same
-    batch has the same sequence."""
+    """``rid, doc_id, id, n, cols, bits`` from ``rid, doc_id, text``; ``cols`` (the
+    sorted 32-bit hashes as bytes) and ``bits`` (their map) are null where an
+    earlier row of the same batch has the same sequence."""
     bound_batches(docs.sparkSession)
-    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("cols", pa.binary())])
+    schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int64()),
+                        ("cols", pa.binary()), ("bits", pa.binary())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out, seen = [], set()
             for rid, doc_id, text in rows_of(batch, "rid", "doc_id", "text"):
                 key, n, cols = shingle_set(text)
-                out.append((rid, doc_id, key, n, None if not n or key in seen else cols.tobytes()))
+                new = n and key not in seen
+                out.append((rid, doc_id, key, n, cols.tobytes() if new else None, bit_map(cols) if new else None))
                 seen.add(key)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
 
-    return docs.select("rid", "doc_id", "text").mapInArrow(run, "rid long, doc_id long, id long, n long, cols binary")
+    return docs.select("rid", "doc_id", "text").mapInArrow(
+        run, "rid long, doc_id long, id long, n long, cols binary, bits binary")
 
 
-def frequent(sets: DataFrame, share: float = FREQUENT) -> np.ndarray:
-    """Sorted hashes of the shingles in at least ``share`` of the documents, as
-    counted over all of them (only those rare in every chunk may be missed)."""
-    total = sets.count()
+def column_ranks(sets: DataFrame) -> np.ndarray:
+    """How often the columns of each counter occur over all rows, on a logarithmic
+    scale of a byte.  A task sends its counters as blocks of bytes (each at most
+    255 a task); they are added per block as they stream in."""
+    size = 1 << COUNTER_BITS
+    schema = pa.schema([("k", pa.int32()), ("c", pa.binary())])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, size, docs = [], 0, 0
-
-        def flush() -> pa.RecordBatch:
-            values, counts = np.unique(np.concatenate(held), return_counts=True) if held else (np.zeros(0, "u4"), np.zeros(0, int))
-            often = counts >= max(4, share * docs)
-            return pa.RecordBatch.from_arrays([pa.array(values[often].astype(np.int64)), pa.array(counts[often].astype(np.int64))],
-                                              names=["h", "n"])
+    def send(blocks: dict[int, bytes]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pa.array(list(blocks.values()), pa.binary())], schema=schema)
 
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, dtype=np.int64)
         for batch in batches:
             for (cols,) in rows_of(batch, "cols"):
-                held.append(np.frombuffer(cols, dtype="<u4"))
-                size += len(held[-1])
-                docs += 1
-                if size >= CHUNK_SHINGLES:
-                    yield flush()
-                    held, size, docs = [], 0, 0
-        yield flush()
+                # a row's columns are sorted: equal counters stand together
+                at, n = np.unique(np.frombuffer(cols, dtype="<u4") >> np.uint32(32 - COUNTER_BITS), return_counts=True)
+                total[at] += n
+        each = np.minimum(total, 255).astype("u1").reshape(-1, _BLOCK)
+        yield send({int(k): each[k].tobytes() for k in np.flatnonzero(each.any(axis=1))})
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, c in rows_of(batch, "k", "c"):
+                if k not in total:
+                    total[k] = np.zeros(_BLOCK, dtype=np.int64)
+                total[k] += np.frombuffer(c, dtype="u1")
+        yield send({k: np.minimum(8 * np.log2(1 + t), 255).astype("u1").tobytes() for k, t in total.items()})
 
-    counted = sets.filter("cols IS NOT NULL").select("cols").mapInArrow(run, "h long, n long")
-    rows = counted.groupBy("h").agg(F.sum("n").alias("n")).filter(F.col("n") >= max(4.0, share * total)).select("h")
-    return np.sort(np.asarray([r[0] for r in rows.collect()], dtype=np.uint32))
+    counted = sets.filter("cols IS NOT NULL").select("cols").mapInArrow(count, "k int, c binary")
+    ranks = np.zeros((size // _BLOCK, _BLOCK), dtype="u1")
+    for k, c in counted.repartition("k").mapInArrow(add, "k int, c binary").collect():  # 4 MiB in all
+        ranks[k] = np.frombuffer(c, dtype="u1")
+    return ranks.reshape(-1)
 
 
-def first_block(sets: DataFrame, often: np.ndarray) -> DataFrame:
-    """``bucket, id, n``: the prefix columns of every distinct row."""
-    shared = sets.sparkSession.sparkContext.broadcast(often)
-    schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("n", pa.int64())])
+def first_block(sets: DataFrame, ranks: np.ndarray) -> DataFrame:
+    """``bucket, id, n, at``: the prefix columns of every distinct row and their places in its order."""
+    shared = sets.sparkSession.sparkContext.broadcast(ranks)
+    schema = pa.schema([("bucket", pa.int64()), ("id", pa.int64()), ("n", pa.int64()), ("at", pa.int32())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        last = shared.value
+        order = shared.value
         for batch in batches:
             parts, ids, sizes = [], [], []
             for key, n, cols in rows_of(batch, "id", "n", "cols"):
                 own = np.frombuffer(cols, dtype="<u4")
-                if len(last):
-                    at = np.minimum(np.searchsorted(last, own), len(last) - 1)
-                    own = own[np.argsort(last[at] == own, kind="stable")]
-                parts.append(own[:n // 4 + 1])
+                by_rank = np.argsort(order[own >> np.uint32(32 - COUNTER_BITS)], kind="stable")
+                parts.append(own[by_rank[:n // 4 + 1]])
                 ids.append(key)
                 sizes.append(n)
             lengths = [len(p) for p in parts]
             yield pa.RecordBatch.from_arrays([
                 pa.array(np.concatenate(parts or [np.zeros(0, "u4")]).astype(np.int64)),
                 pa.array(np.repeat(np.asarray(ids, dtype=np.int64), lengths)),
-                pa.array(np.repeat(np.asarray(sizes, dtype=np.int64), lengths))], schema=schema)
+                pa.array(np.repeat(np.asarray(sizes, dtype=np.int64), lengths)),
+                pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths] or [np.zeros(0, "i4")]))], schema=schema)
 
-    return sets.filter("cols IS NOT NULL").select("id", "n", "cols").mapInArrow(run, "bucket long, id long, n long")
+    return sets.filter("cols IS NOT NULL").select("id", "n", "cols").mapInArrow(run, "bucket long, id long, n long, at int")
 
 
 def shared_columns(block: DataFrame) -> DataFrame:
@@ -142,31 +171,47 @@ def shared_columns(block: DataFrame) -> DataFrame:
 
 
 def size_bound(x: str, y: str) -> Column:
+    """Whether the sizes allow the threshold, if this is the first column that the
+    two rows share: no more than what is left of each can be shared (a pair that
+    reaches the threshold passes in the bucket of its first shared column)."""
     n, m = F.col(f"{x}.n"), F.col(f"{y}.n")
-    return 100 * F.least(n, m) >= PER_CENT * F.greatest(n, m)
+    left = F.least(n - F.col(f"{x}.at"), m - F.col(f"{y}.at"))
+    return (100 * F.least(n, m) >= PER_CENT * F.greatest(n, m)) & ((100 + PER_CENT) * left >= PER_CENT * (n + m))
 
 
-def overlap_check(sets: DataFrame):
-    """Keeps the pairs (a, b) whose exact overlap reaches the threshold."""
-    rows = sets.filter("cols IS NOT NULL").select("id", "n", "cols")
+def kept_pairs(pairs: DataFrame, rows: DataFrame, column: str, shared: Callable[[int, int, bytes, bytes], int]) -> DataFrame:
+    """The pairs (a, b) that reach the threshold if they share ``shared(n, m, one,
+    two)`` columns, from the ``column`` of their ``rows`` (``id, n``, unique)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = pa.schema([("a", pa.int64()), ("b", pa.int64())])
         for batch in batches:
             kept = []
             for a, b, n, m, one, two in rows_of(batch, "a", "b", "n", "m", "one", "two"):
-                both = len(np.intersect1d(np.frombuffer(one, "<u4"), np.frombuffer(two, "<u4"), assume_unique=True))
+                both = shared(n, m, one, two)
                 if 100 * both >= PER_CENT * (n + m - both):
                     kept.append((a, b))
             yield pa.RecordBatch.from_arrays([pa.array([x[i] for x in kept], pa.int64()) for i in (0, 1)], schema=schema)
 
+    left = rows.select(F.col("id").alias("a"), "n", F.col(column).alias("one"))
+    right = rows.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col(column).alias("two"))
+    return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long")
+
+
+def exact_shared(n: int, m: int, one: bytes, two: bytes) -> int:
+    return len(np.intersect1d(np.frombuffer(one, "<u4"), np.frombuffer(two, "<u4"), assume_unique=True))
+
+
+def overlap_check(sets: DataFrame):
+    """Keeps the distinct pairs (a, b) whose exact overlap reaches the threshold."""
+    rows = sets.filter("cols IS NOT NULL")
+    maps = cut(rows.select("id", "n", "bits").dropDuplicates(["id"]), "ngram-maps")
+
     def check(pairs: DataFrame) -> DataFrame:
-        pairs = cut(pairs, "ngram-pairs")
+        pairs = cut(kept_pairs(pairs, maps, "bits", most_shared), "ngram-pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        mine = cut(rows.join(ids, "id", "left_semi").dropDuplicates(["id"]), "ngram-rows")
-        left = mine.select(F.col("id").alias("a"), "n", F.col("cols").alias("one"))
-        right = mine.select(F.col("id").alias("b"), F.col("n").alias("m"), F.col("cols").alias("two"))
-        return pairs.join(left, "a").join(right, "b").mapInArrow(run, "a long, b long").distinct()
+        mine = cut(rows.select("id", "n", "cols").join(ids, "id", "left_semi").dropDuplicates(["id"]), "ngram-rows")
+        return kept_pairs(pairs, mine, "cols", exact_shared)
 
     return check
 
@@ -175,7 +220,7 @@ def group_rows(docs: DataFrame) -> DataFrame:
     """``rid, doc_id, n, comp`` of documents with a row key; ``comp`` is the
     same for documents of one component and null without words."""
     sets = cut(shingle_sets(docs), "shingle-sets")
-    block = cut(shared_columns(first_block(sets, frequent(sets))), "ngram-block")
+    block = cut(shared_columns(first_block(sets, column_ranks(sets))), "ngram-block")
     nodes = sets.select("rid", "doc_id", "id", "n")
     words = nodes.filter("n > 0")
     if not block.isEmpty():
