@@ -69,12 +69,14 @@ def link_buckets(members: DataFrame, near: Callable[[str, str], Column], check:
     for _ in range(rounds):
         pivots = cut(rows.groupBy("bucket").agg(F.min(F.struct(
             (-F.col("weight")).alias("w"), "id", *carried)).alias("p")).select("bucket", "p.id", *[f"p.{c}" for c in carried]), "pivots")
-        pairs = (rows.alias("x").join(pivots.alias("y"), "bucket").filter(F.col("x.id") != F.col("y.id"))
-                 .filter(near("x", "y"))
+        # every member but the pivot beside it; the pivot has then met every member and leaves the bucket
+        met = cut(rows.select("bucket", F.struct("id", "weight", *carried).alias("x"))
+                  .join(pivots.select("bucket", F.struct("id", *carried).alias("y")), "bucket")
+                  .filter("x.id <> y.id"), "bucket-met")
+        pairs = (met.filter(near("x", "y"))
                  .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
         links.append(cut(check(pairs), "links"))
-        # the pivot has met every member: it leaves the bucket
-        rest = rows.join(pivots.select("bucket", F.col("id").alias("pivot")), "bucket").filter("id <> pivot").drop("pivot", "comp")
+        rest = met.select("bucket", "x.id", "x.weight", *[f"x.{c}" for c in carried])
         groups = components(_union(links))
         rest = rest.join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
         rows = cut(open_buckets(cut(rest, "bucket-rest")), "bucket-members")

@@ -161,13 +161,19 @@ def first_block(sets: DataFrame, ranks: np.ndarray) -> DataFrame:
 
 
 def shared_columns(block: DataFrame) -> DataFrame:
-    """The rows of columns that at least two different rows have."""
+    """The rows of columns that at least two different rows have, one of them early.
+
+    The smaller row of a linked pair has their first shared column among its
+    first ``n // 7 + 1`` (it shares at least 75 * 2 n / 175 columns), so a column
+    that comes later in all its rows is the first of no linked pair.
+    """
     from pyspark.sql import Window
 
     column = Window.partitionBy("bucket")
     return (block.repartition("bucket").dropDuplicates(["bucket", "id"])
             .withColumn("x", F.min("id").over(column)).withColumn("y", F.max("id").over(column))
-            .filter("x <> y").drop("x", "y"))
+            .withColumn("early", F.max(F.expr(f"{100 + PER_CENT} * (n - at) >= {2 * PER_CENT} * n")).over(column))
+            .filter("x <> y AND early").drop("x", "y", "early"))
 
 
 def size_bound(x: str, y: str) -> Column:
