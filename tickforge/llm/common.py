@@ -38,8 +38,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to a new folder below the shared checkpoint root and read
     it back: computed once, lineage cut, safe against lost executors.  The
     shuffle files of the write go once it has committed: nothing reads them again."""
+    return cut_to(df, scratch_path(df.sparkSession, name))
+
+
+def cut_to(df: DataFrame, path: str) -> DataFrame:
+    """``cut`` to a folder of the caller's, who may remove it with ``drop_folder``."""
     spark = df.sparkSession
-    path = scratch_path(spark, name)
     before = spark.conf.get(SHUFFLE_CLEANUP, "false")
     spark.conf.set(SHUFFLE_CLEANUP, "true")
     try:
@@ -49,6 +53,12 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_folder(spark: SparkSession, path: str) -> None:
+    """Remove a scratch folder that no later job reads."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def text_of(column: str = "text") -> Column:
     """The text column, null as empty."""
     return F.coalesce(F.col(column), F.lit(""))

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tickforge.llm.centroids import op11_centroid_clustering
 from tickforge.llm.decontaminate import op6_decontaminate
 from tickforge.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tickforge.llm.html_text import op4_html_text
@@ -16,6 +17,8 @@ from tickforge.llm.secrets import op3_secret_scan
 from tickforge.llm.suffix_dedup import op8_suffix_dedup
 from tickforge.llm.token_store import op1_token_store
 from tickforge.llm.toxicity import op5_toxicity
+from tickforge.llm.url_filter import OP13_SQL, op13_url_filter
+from tickforge.llm.whitening import op12_whitening
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -30,9 +33,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_suffix_dedup": op8_suffix_dedup,
         "op9_line_dedup": op9_line_dedup,
         "op10_ngram_join": op10_ngram_join,
+        "op11_centroid_clustering": op11_centroid_clustering,
+        "op12_whitening": op12_whitening,
+        "op13_url_filter": op13_url_filter,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    """Only exact dedup is plain SQL; the others are tested against brute force."""
-    return {"op7_exact_dedup": OP7_SQL}
+    """What plain SQL can express; the others are tested against brute force."""
+    return {"op7_exact_dedup": OP7_SQL, "op13_url_filter": OP13_SQL}
