@@ -260,3 +260,47 @@ def op11_centroid_clustering(spark: SparkSession, sf_dir: str) -> DataFrame:
     # one row per centroid: a bounded side
     return out.vectors.join(F.broadcast(table), F.col("near") == F.col("cluster")).select(
         F.col("id").alias("vec_id"), "cluster", "distance", "cluster_inertia", "inertia", "centroid_sha256")
+
+
+def _sql(k: int = 40, rounds: int = 5, dim: int = 64) -> str:
+    """The same by full search, one pair of queries a round; ``best`` holds distance and number in one integer."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""
+a{i} AS MATERIALIZED (
+  SELECT vec_id, min(distance * {k} + k) AS best FROM (
+    SELECT e.vec_id, c.k, sum((e.x - c.x) * (e.x - c.x)) AS distance FROM entry e JOIN c{i} c ON e.d = c.d GROUP BY e.vec_id, c.k
+  ) GROUP BY vec_id)""")
+        if i < rounds:
+            steps.append(f"""
+c{i + 1} AS MATERIALIZED (
+  SELECT c.k, c.d, CASE WHEN s.n IS NULL THEN c.x ELSE (s.total - ((s.total % s.n) + s.n) % s.n) // s.n END AS x
+  FROM c{i} c LEFT JOIN (
+    SELECT a.best % {k} AS k, e.d, count(*) AS n, sum(e.x) AS total FROM a{i} a JOIN entry e ON a.vec_id = e.vec_id GROUP BY a.best % {k}, e.d
+  ) s ON s.k = c.k AND s.d = c.d)""")
+    return f"""
+WITH kept AS MATERIALIZED (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+  WHERE len(embedding) = {dim} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {dim}
+), entry AS MATERIALIZED (
+  SELECT vec_id, unnest(v) AS x, unnest(range({dim})) AS d FROM kept
+), first AS (
+  SELECT vec_id, row_number() OVER (ORDER BY sha256('2:' || CAST(vec_id AS VARCHAR))) - 1 AS k FROM kept
+), c0 AS MATERIALIZED (
+  SELECT f.k, e.d, e.x FROM first f JOIN entry e ON f.vec_id = e.vec_id WHERE f.k < {k}
+),{",".join(steps)},
+far AS (
+  SELECT vec_id, best % {k} AS k, best // {k} AS distance FROM a{rounds}
+), total AS (
+  SELECT k, sum(distance) AS cluster_inertia FROM far GROUP BY k
+), named AS (
+  SELECT k, sha256(string_agg(CAST(x AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY k
+)
+SELECT far.vec_id, CAST(far.k AS INTEGER) AS cluster, CAST(far.distance AS BIGINT) AS distance,
+       CAST(total.cluster_inertia AS BIGINT) AS cluster_inertia,
+       CAST((SELECT sum(distance) FROM far) AS BIGINT) AS inertia, named.centroid_sha256
+FROM far JOIN total ON far.k = total.k JOIN named ON far.k = named.k
+"""
+
+
+OP11_SQL = _sql()

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tickforge.llm.centroids import op11_centroid_clustering
+from tickforge.llm.centroids import OP11_SQL, op11_centroid_clustering
 from tickforge.llm.decontaminate import op6_decontaminate
 from tickforge.llm.exact_dedup import OP7_SQL, op7_exact_dedup
 from tickforge.llm.html_text import op4_html_text
@@ -41,4 +41,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 def oracle_sql() -> dict[str, str]:
     """What plain SQL can express; the others are tested against brute force."""
-    return {"op7_exact_dedup": OP7_SQL, "op13_url_filter": OP13_SQL}
+    return {"op7_exact_dedup": OP7_SQL, "op11_centroid_clustering": OP11_SQL, "op13_url_filter": OP13_SQL}
