@@ -10,6 +10,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tickforge.operators.derive import MINUTE, derive_bars, pair_windows
+from tickforge.session import scratch_path
 
 bar = st.tuples(
     st.sampled_from(["AAA", "BBB"]),  # fsym
@@ -23,7 +24,7 @@ bar = st.tuples(
 @given(rows=st.lists(bar, min_size=1, max_size=40, unique_by=lambda r: (r[0], r[1])),
        copies=st.lists(st.tuples(st.integers(min_value=0, max_value=39), st.integers(min_value=2, max_value=60)),
                        max_size=3),
-       chunk=st.sampled_from([7, 50, 1000]), partitioning=st.sampled_from(["hash", "range"]))
+       chunk=st.sampled_from([7, 50, 1000]), partitioning=st.sampled_from(["hash", "range", "counts"]))
 def test_split_copies_equals_plain(spark, rows, copies, chunk, partitioning):
     data = [(f, "USD", t, h, c) for f, t, h, c in rows]
     for pick, n in copies:  # exact copies of some bars
@@ -68,6 +69,42 @@ def test_hot_copies_are_split_across_tasks(spark):
         Counter(tuple(r) for r in plain.select(*key).collect())
 
 
+def own_requests(spark, hot=24_000):
+    """One (pair, time) holds 75% of the rows, every copy from a request of its own."""
+    cold = spark.range(0, hot // 3).select(
+        F.concat(F.lit("C"), (F.col("id") % 40).cast("string")).alias("fsym"), F.timestamp_seconds(F.col("id") * 60).alias("ts"), "id")
+    rows = cold.unionByName(spark.range(0, hot).select(F.lit("HOT").alias("fsym"), F.timestamp_seconds(F.lit(600)).alias("ts"), "id"))
+    return rows.select("fsym", F.lit("USD").alias("tsym"), "ts", F.timestamp_seconds(F.col("id") * 7919 % 100_003).alias("request_timestamp"),
+                       (F.col("id") % 1_009).cast("double").alias("high"), (F.col("id") % 997).cast("double").alias("close"))
+
+
+def test_copies_with_own_requests_are_spread(spark):
+    """Ranges of equal row count: no window task holds a third of the rows, also not of
+    the small windows over the ranges, and every row equals the plain window's."""
+    bars = own_requests(spark)
+    cols = ["fsym", "ts", "request_timestamp", "high", "close", "close_lag1", "all_time_high"]
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        plain = Counter(tuple(r) for r in pair_windows(bars, "ts", with_ath=True, chunk_seconds=None).select(*cols).collect())
+        for partitioning in ("hash", "counts"):
+            split = pair_windows(bars, "ts", with_ath=True, chunk_seconds=86_400, partitioning=partitioning, split_copies_over=2_000)
+            got = split.select(*cols, F.spark_partition_id().alias("p")).collect()
+            assert Counter(tuple(r)[:-1] for r in got) == plain
+            assert max(Counter(r["p"] for r in got).values()) < len(got) / 3
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+
+
+def test_hot_rows_are_read_once(spark):
+    """The main plan reads the input for the cold rows alone; the hot ones come from the
+    ranges that were written."""
+    path = f"{scratch_path(spark, 'hot-input')}"
+    own_requests(spark, 3_000).write.parquet(path)
+    out = pair_windows(spark.read.parquet(path), "ts", with_ath=True, chunk_seconds=86_400, split_copies_over=500)
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    assert plan.count(path.rsplit("/", 1)[1][:30]) == 1 and "hot-bars" in plan
+
+
 def test_split_equals_plain_after_a_shuffle(spark):
     """Bars in any order and layout, different values at one time, NULL times
     and adaptive coalescing: the limit changes no row."""
@@ -86,7 +123,7 @@ def test_split_equals_plain_after_a_shuffle(spark):
     try:
         plain = out(bars, chunk_seconds=None)
         for limit in (5, 20, None):
-            for partitioning in ("hash", "range"):
+            for partitioning in ("hash", "range", "counts"):
                 got = out(bars.repartition(64, "close", "high"), chunk_seconds=600, partitioning=partitioning, split_copies_over=limit)
                 assert got == plain
     finally:

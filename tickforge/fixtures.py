@@ -87,6 +87,19 @@ def landed_bars(spark: SparkSession, sf_dir: str, grain: str) -> DataFrame:
     )
 
 
+def requested_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a landed day bar of its own: all events of a pair and day are
+    copies of one bar time, each landed by a request at its own instant."""
+    pe = pair_events(spark, sf_dir)
+    price = F.floor("value").cast("string")
+    return pe.select(
+        F.unix_seconds(F.date_trunc("day", "ts")).cast("string").alias("time"),
+        *[price.alias(c) for c in ("open", "high", "low", "close")],
+        F.lit("1").alias("volumefrom"), F.lit("1").alias("volumeto"), "fsym", "tsym",
+        F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("request_timestamp"),
+    )
+
+
 def bar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed API responses for minute bars: one page per pair and UTC day.
 

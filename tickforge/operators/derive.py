@@ -51,14 +51,14 @@ from tickforge.functions.temporal import (
     unix_to_ts,
 )
 from tickforge.operators.landing import dedupe_bars
-from tickforge.plans.joins import join_small
+from tickforge.plans.joins import BROADCAST_BYTES, join_small, written_small
+from tickforge.plans.scans import LOWEST, cut_ranges
 from tickforge.session import checkpoint_root
 
 # The numeric columns of a landed bar and the volume renames.
 NUMERIC_COLUMNS = ("open", "high", "low", "close", "volumefrom", "volumeto")
 VOLUME_RENAMES = {"volumefrom": "volume_fsym", "volumeto": "volume_tsym"}
 PAIR_KEYS = ("fsym_char1", "tsym", "fsym")
-_LOWEST = -(2**63) + 1  # ordering key for bars without a time
 TIE = ("_request", "_hash")  # order among bars of one time, see _with_tie
 
 
@@ -185,22 +185,27 @@ def pair_windows(
     partitions by (``fsym_char1``, ``tsym``).
 
     ``partitioning`` (chunked form only) picks the one big shuffle:
-    ``hash`` on (pair, chunk), or ``range`` on (``fsym_char1``, ``tsym``,
-    ``fsym``, chunk) - contiguous key ranges, so each task holds one or two
-    output folders (few files) while a long pair is still cut by chunk;
-    Spark samples the input once to set the ranges.
+
+    * ``hash`` on (pair, chunk),
+    * ``counts``: contiguous key ranges of (``fsym_char1``, ``tsym``, ``fsym``,
+      chunk) of about equal row count - each task holds one or two output folders
+      (few files) while a long pair is still cut by chunk.  Where they begin follows
+      from the rows the chunk summary has counted (see ``_places``); no row is read
+      for it,
+    * ``range``: such ranges by Spark's sampling, which reads the input once more.
+      ``counts`` falls back to it where its table of places is too large to broadcast.
 
     Bars of one (pair, time) follow each other by request time, then by a hash
     of their content, in every form.
 
     ``split_copies_over`` (chunked form only) also splits chunks that hold
     more than that many rows, which only rows of the same (pair, time) can
-    cause: see ``_split_hot_chunks``.  The rows of the result do not depend on it.  It runs one job first (the chunk
-    summary, checkpointed); with no such chunk the plan is the plain chunked
-    one.
+    cause: see ``_split_hot_chunks``.  The rows of the result do not depend on it.
+    It and ``counts`` run one job first (the chunk summary, checkpointed); with no
+    such chunk the plan is the plain chunked one.
     """
-    if partitioning not in ("hash", "range"):
-        raise ValueError("partitioning must be 'hash' or 'range'")
+    if partitioning not in ("hash", "range", "counts"):
+        raise ValueError("partitioning must be 'hash', 'range' or 'counts'")
     df = _with_tie(_with_bucket(df))
     keys = list(PAIR_KEYS)
     if chunk_seconds is None:
@@ -217,22 +222,23 @@ def pair_windows(
     # 1. one summary row per (pair, chunk), partially aggregated before its
     #    own small shuffle; the last close follows the window's whole order
     #    (time, request, content), and a NULL time still ranks (lowest)
-    order_key = F.coalesce(F.unix_micros(F.col(order_col)), F.lit(_LOWEST))
-    aggs = [F.max_by("close", F.struct(order_key, *TIE)).alias("_last_close")]
+    counted = split_copies_over is not None or partitioning == "counts"
+    aggs = [F.max_by("close", F.struct(_order_key(order_col), *TIE)).alias("_last_close")]
     if with_ath:
         aggs.append(F.max(null_if_zero("high")).alias("_chunk_ath"))
-    if split_copies_over is not None:
+    if counted:
         aggs.append(F.count(F.lit(1)).alias("_n"))
     summary = base.groupBy(*keys, "_chunk").agg(*aggs)
-    hot = None
-    if split_copies_over is not None:
+    hot, hot_rows, places = None, 0, None
+    if counted:
         checkpoint_root(df.sparkSession)  # the shared folder (fails on a cluster without one)
         summary = summary.checkpoint(eager=True)
-        hot = summary.filter(F.col("_n") > split_copies_over).select(
-            _chunk_key(keys), F.ceil(F.col("_n") / F.lit(split_copies_over)).alias("_salts")
-        )
-        if hot.isEmpty():
-            hot = None
+        is_hot = F.col("_n") > split_copies_over if split_copies_over is not None else F.lit(False)
+        total, hot_rows = summary.agg(F.sum("_n"), F.sum(F.when(is_hot, F.col("_n")))).first()
+        if hot_rows:
+            hot = summary.filter(is_hot).select(_chunk_key(keys)).distinct()
+        if partitioning == "counts":
+            places = _places(summary.withColumn("_n", F.when(is_hot, 0).otherwise(F.col("_n"))), keys, (total or 0) - (hot_rows or 0))
         summary = summary.drop("_n")
 
     # 2. what each chunk inherits from the chunks before it (small window)
@@ -244,24 +250,41 @@ def pair_windows(
             .over(w_prev.rowsBetween(Window.unboundedPreceding, -1))
             .alias("high")
         )
-    carry = summary.select(*keys, "_chunk", *carried, F.lit(0).alias("_kind"))
-    if hot is not None:
-        return _split_hot_chunks(base, carry, hot, keys, order_col, with_ath, partitioning)
+    carry = summary.select(*keys, "_chunk", *carried)
 
     # 3. carry row first in every chunk, then the chunk's bars in time order;
     #    the one full shuffle is the window's own exchange above the union
-    #    (hash on pair and chunk) or an explicit range partitioning
-    stream = base.withColumn("_kind", F.lit(1)).unionByName(carry, allowMissingColumns=True)
-    if partitioning == "range":
-        stream = stream.repartitionByRange(*keys, "_chunk")
-    w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col, *TIE)
-    out = stream.withColumn("close_lag1", F.lag("close").over(w))
+    #    (hash on pair and chunk) or an explicit partitioning by key ranges
+    if hot is None:
+        stream = base.withColumns({"_lead": F.lit(1), "_tail": F.lit(0)}).unionByName(
+            carry.withColumns({"_lead": F.lit(0), "_tail": F.lit(0)}), allowMissingColumns=True)
+        group, ranges = [*keys, "_chunk"], 0
+    else:
+        ranges = -(-int(hot_rows) // split_copies_over)
+        stream = _split_hot_chunks(base, carry, hot, keys, order_col, with_ath, ranges)
+        group = [*keys, "_chunk", "_range"]
+    if partitioning == "range" or (partitioning == "counts" and places is None):
+        stream = stream.repartitionByRange(*group)
+    elif partitioning == "counts":
+        stream = places.assign(stream, keys, ranges)
+        group = [*group, "_place"]
+    # a range that ends inside a time has a tail row with the highest high of that time
+    parts = Window.partitionBy(*group)
+    out = stream.withColumn("close_lag1", F.lag("close").over(parts.orderBy("_lead", order_col, "_tail", *TIE)))
     if with_ath:
-        w = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
-        out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(w))
+        out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(parts.orderBy("_lead", order_col)))
+
+    # 4. drop the carry and tail rows, put the copies back one by one: the second and
+    #    later ones follow a bar that is like them, so their lag is their own close
+    out = out.filter((F.col("_lead") == 1) & (F.col("_tail") == 0))
+    if hot is not None:
+        out = out.withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
+        out = out.withColumn("close_lag1", F.when(F.col("_copy") == 1, F.col("close_lag1")).otherwise(F.col("close")))
+    return out.drop("_lead", "_tail", "_copy", "_copies", "_range", "_place", "_chunk", *TIE)
+
 
-    # 4. drop the carry rows
-    return out.filter(F.col("_kind") == 1).drop("_kind", "_chunk", *TIE)
+def _order_key(order_col: str) -> Column:
+    return F.coalesce(F.unix_micros(F.col(order_col)), F.lit(LOWEST))
 
 
 def _split_hot_chunks(
@@ -271,89 +294,128 @@ def _split_hot_chunks(
     keys: list[str],
     order_col: str,
     with_ath: bool,
-    partitioning: str,
+    ranges: int,
 ) -> DataFrame:
-    """Chunked windows where some chunks hold very many rows of one time.
-
-    Rows of one time are ordered by request and by a hash of their content
-    (``TIE``), in every form of the window, so no position of a row matters.
-    The rows of a hot chunk are spread by salt over ``_salts`` window groups; the
-    salt grows with the content hash, so (time, request, salt, hash) is the same
-    order whatever the number of salts:
+    """Rows for chunked windows where some chunks hold very many rows of one time:
+    a two-level scan over ranges of equal row count.
 
     1. the hot chunks (checked size, broadcast) mark their rows by a hash of
        (pair, chunk), which NULL keys have too; exact copies become one row with
-       a count, partially aggregated,
-    2. one summary row per (pair, chunk, time, request, salt) group of hot rows,
-    3. a small window over those groups, started by the chunk's carry row,
-       gives each group the close of the group before it in that order and
-       the highest high up to its time (all groups of the time included),
-    4. these group carry rows precede their group in the big window, which
-       is partitioned by (pair, chunk, salt); other chunks keep salt 0 and
-       their single carry row,
-    5. copies are put back one by one as the rows stream out: the second and
-       later ones follow a bar that is like them, so their lag is their own close.
+       a count, partially aggregated.  The rows are cut into ``ranges`` contiguous
+       ranges of the whole order (pair, chunk, time, request, content) and written
+       once: neither one time nor one request needs to fit a task,
+    2. one summary row per (pair, chunk, range): last close, highest high, and the
+       highest high of its first time,
+    3. a prefix over the ranges of a chunk, started by the chunk's carry row, gives
+       each range the close and the highest high of all before it (its carry row);
+       bars of one time are peers in the maximum, so a range that ends within a
+       time also gets the highest high that later ranges hold of it (its tail row),
+    4. the window runs per (pair, chunk, range); other chunks have range -1 and
+       their single carry row.
     """
-    flag = hot.withColumn("_hot", F.lit(True))
     columns = base.columns
-    rows = join_small(base.withColumn("_k", _chunk_key(keys)), flag, on=["_k"], how="left")
-    is_hot = F.col("_hot").isNotNull()
-    spread = F.floor((F.col("_hash").cast("double") / F.lit(2.0**64) + 0.5) * F.col("_salts"))
-    hot_rows = (
-        rows.filter(is_hot)
-        .groupBy(*columns, "_salts")
-        .agg(F.count(F.lit(1)).alias("_copies"))
-        .withColumn("_salt", F.least(spread, F.col("_salts") - 1).cast("bigint"))
-        .select(*columns, "_salt", "_copies")
-    )
-    cold_rows = rows.filter(~is_hot).select(
-        *columns, F.lit(0).cast("bigint").alias("_salt"), F.lit(1).cast("bigint").alias("_copies")
-    )
-
-    # 2. one row per (pair, chunk, time, request, salt) group of the hot chunks
-    g_aggs = [F.max_by("close", "_hash").alias("close")]
+    marked = base.withColumn("_k", _chunk_key(keys))
+    flag = hot.withColumn("_hot", F.lit(True))
+    rows = join_small(marked, flag, on=["_k"], how="left")
+    hot_rows = cut_ranges(
+        rows.filter(F.col("_hot").isNotNull()).groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")),
+        [*keys, "_chunk", order_col, *TIE], ranges, "hot-bars")
+    cold_rows = rows.filter(F.col("_hot").isNull()).select(
+        *columns, F.lit(1).cast("bigint").alias("_copies"), F.lit(-1).alias("_range"))
+
+    # 2. one row per range of a chunk
+    high = null_if_zero("high") if with_ath else F.lit(None).cast("double")
+    t = _order_key(order_col)
+    edges = hot_rows.groupBy(*keys, "_chunk", "_range").agg(
+        F.max_by("close", F.struct(t, *TIE)).alias("close"), F.max(high).alias("high"),
+        F.max(F.struct((-t).alias("t"), high.alias("high"))).alias("first"),
+        F.max(t).alias("_last"), F.max(order_col).alias(order_col))
+    edges = edges.checkpoint(eager=True)
+
+    # 3. the prefix, and the peers of the last time among later ranges
+    hot_carry = join_small(carry.withColumn("_k", _chunk_key(keys)), flag, on=["_k"]).drop("_hot", "_k")
+    g = edges.select(*keys, "_chunk", "_range", "close", *(["high"] if with_ath else [])).unionByName(
+        hot_carry.withColumn("_range", F.lit(-1)))
+    w_prev = Window.partitionBy(*keys, "_chunk").orderBy("_range")
+    inherited = [F.lag("close").over(w_prev).alias("close")]
     if with_ath:
-        g_aggs.append(F.max(null_if_zero("high")).alias("high"))
-    groups = (
-        hot_rows.groupBy(*keys, "_chunk", order_col, "_request", "_salt")
-        .agg(*g_aggs)
-        .withColumn("_kind", F.lit(1))
-    )
-    hot_carry = join_small(carry.withColumn("_k", _chunk_key(keys)), flag, on=["_k"]).drop("_hot", "_salts", "_k")
-
-    # 3. what each group inherits: the chunk's carry row first, then groups in
-    #    order; the maximum's RANGE frame takes all groups of a time as peers
-    g = groups.unionByName(hot_carry.withColumn("_kind", F.lit(0)), allowMissingColumns=True)
-    w_close = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col, "_request", "_salt")
-    inherited = [F.lag("close").over(w_close).alias("close")]
+        inherited.append(F.max("high").over(w_prev.rowsBetween(Window.unboundedPreceding, -1)).alias("high"))
+    range_carry = g.select(*keys, "_chunk", "_range", *inherited).filter(F.col("_range") >= 0)
+    stream = hot_rows.unionByName(cold_rows).withColumns({"_lead": F.lit(1), "_tail": F.lit(0)})
+    for c in (range_carry, carry.withColumn("_range", F.lit(-1))):
+        stream = stream.unionByName(c.withColumns({"_lead": F.lit(0), "_tail": F.lit(0)}), allowMissingColumns=True)
     if with_ath:
-        w_max = Window.partitionBy(*keys, "_chunk").orderBy("_kind", order_col)
-        inherited.append(F.max("high").over(w_max).alias("high"))
-    group_carry = (
-        g.select(*keys, "_chunk", order_col, "_request", "_salt", "_kind", *inherited)
-        .filter(F.col("_kind") == 1)
-        .withColumns({"_lead": F.lit(1), "_kind": F.lit(0)})
-    )
+        begins = edges.select(*keys, "_chunk", (-F.col("first.t")).alias("_t"), F.col("first.high").alias("high"))
+        ends = edges.select(*keys, "_chunk", F.col("_last").alias("_t"), "_range", order_col)
+        peers = Window.partitionBy(*keys, "_chunk", "_t")
+        tails = (begins.unionByName(ends, allowMissingColumns=True).withColumn("high", F.max("high").over(peers))
+                 .filter(F.col("_range").isNotNull() & F.col("high").isNotNull()).drop("_t"))
+        stream = stream.unionByName(tails.withColumns({"_lead": F.lit(1), "_tail": F.lit(1)}), allowMissingColumns=True)
+    return stream
 
-    # 4. one big shuffle by (pair, chunk, salt)
-    bars = hot_rows.unionByName(cold_rows).withColumns({"_lead": F.lit(1), "_kind": F.lit(1)})
-    chunk_carry = carry.withColumns({"_lead": F.lit(0), "_salt": F.lit(0).cast("bigint")})
-    stream = bars.unionByName(chunk_carry, allowMissingColumns=True).unionByName(
-        group_carry, allowMissingColumns=True
-    )
-    if partitioning == "range":
-        stream = stream.repartitionByRange(*keys, "_chunk", "_salt")
-    parts = Window.partitionBy(*keys, "_chunk", "_salt")
-    out = stream.withColumn("close_lag1", F.lag("close").over(
-        parts.orderBy("_lead", order_col, "_request", "_kind", "_hash")))
-    if with_ath:
-        out = out.withColumn("all_time_high", F.max(null_if_zero("high")).over(parts.orderBy("_lead", order_col)))
 
-    # 5. drop the carry rows, put the copies back
-    out = out.filter((F.col("_lead") == 1) & (F.col("_kind") == 1)).withColumn(
-        "_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("_copies"))))
-    return out.withColumn("close_lag1", F.when(F.col("_copy") == 1, F.col("close_lag1")).otherwise(F.col("close"))).drop(
-        "_lead", "_kind", "_copy", "_copies", "_salt", "_chunk", *TIE)
+# Rows of a place at least, so that small inputs make few tasks and files.
+LEAST_ROWS = 10_000
+
+
+@dataclass(frozen=True)
+class _Places:
+    """Where the key ranges of equal row count begin: ``table`` has, per hash of a pair,
+    the chunks at which its places begin and their numbers."""
+
+    table: DataFrame
+    count: int
+
+    def assign(self, stream: DataFrame, keys: list[str], ranges: int) -> DataFrame:
+        """``stream`` partitioned by place; a hot range is a place of its own."""
+        # binary search among the first chunks of the pair's places
+        found = F.expr(f"""_numbers[CASE WHEN size(_starts) = 1 THEN 0 ELSE aggregate(
+            sequence(cast(floor(log2(size(_starts))) as int), 0, -1), 0, (at, i) -> CASE
+            WHEN at + shiftleft(1, i) < size(_starts) AND _starts[at + shiftleft(1, i)] <= coalesce(_chunk, {LOWEST}L)
+            THEN at + shiftleft(1, i) ELSE at END) END]""")
+        placed = stream.withColumn("_pair", F.xxhash64(*keys)).join(F.broadcast(self.table), "_pair", "left")
+        place = F.coalesce(found, F.lit(0))
+        if ranges:
+            place = F.when(F.col("_range") >= 0, F.col("_range") + self.count).otherwise(place)
+        placed = placed.withColumn("_place", place.cast("int")).drop("_pair", "_starts", "_numbers")
+        return placed.repartitionById(self.count + ranges, F.col("_place"))
+
+
+def _places(summary: DataFrame, keys: list[str], total: int) -> _Places | None:
+    """Ranges of (bucket, quote, symbol, chunk) of about equal row count from the counts
+    of the chunk summary; None if the table of their beginnings is too large.
+
+    The running count is taken in three levels - output folders, pairs of a folder,
+    chunks of a pair - so no window holds more than one of these groups.  The table
+    has an entry per pair and per place, whatever the number of rows.
+    """
+    spark = summary.sparkSession
+    target = max(LEAST_ROWS, -(-total // int(spark.conf.get("spark.sql.shuffle.partitions"))))
+    folder, pair = keys[:2], keys
+
+    def before(df: DataFrame, by: list[str], order: str, name: str) -> DataFrame:
+        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
+        return df.withColumn(name, F.coalesce(F.sum("_n").over(w), F.lit(0)))
+
+    def same(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
+        right = right.withColumnsRenamed({c: f"_r_{c}" for c in on}).drop("_n")
+        cond = F.lit(True)
+        for c in on:
+            cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
+        return left.join(right, cond).drop(*[f"_r_{c}" for c in on])
+
+    pairs = summary.groupBy(*pair).agg(F.sum("_n").alias("_n"))
+    folders = pairs.groupBy(*folder).agg(F.sum("_n").alias("_n")).withColumn("_at", F.struct(*folder))
+    folders = before(folders, [], "_at", "_in_all").drop("_at")  # one row per output folder
+    pairs = same(before(pairs, folder, "fsym", "_in_folder"), folders, folder)
+    chunks = same(before(summary.select(*keys, "_chunk", "_n"), pair, "_chunk", "_in_pair"), pairs, pair)
+    place = F.floor((F.col("_in_all") + F.col("_in_folder") + F.col("_in_pair")) / F.lit(target)).cast("int")
+    starts = chunks.groupBy(F.xxhash64(*keys).alias("_pair"), place.alias("_place")).agg(
+        F.min(F.coalesce("_chunk", F.lit(LOWEST))).alias("_start"))
+    table = starts.groupBy("_pair").agg(F.sort_array(F.collect_list(F.struct("_start", "_place"))).alias("_s")).select(
+        "_pair", F.col("_s._start").alias("_starts"), F.col("_s._place").alias("_numbers"))
+    table, fits = written_small(table, 2_000_000, BROADCAST_BYTES)
+    return _Places(table, max(1, -(-total // target) + 1)) if fits else None
 
 
 def derive_bars(

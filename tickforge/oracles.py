@@ -219,6 +219,14 @@ FROM oi"""
         "change_hourly": derived_sql("hour"),
         "change_minute": derived_sql("minute"),
         "all_time_high": derived_sql("day", "date, fsym, tsym, high, all_time_high"),
+        "change_copies": f"""WITH {PAIR_EVENTS},
+e AS (SELECT fsym, tsym, date_trunc('day', ts) AS date, ts, floor(value) AS close FROM pe),
+w AS (
+  SELECT *, lag(close) OVER (PARTITION BY fsym, tsym ORDER BY date, ts) AS close_lag1,
+         max(nullif(close, 0)) OVER (PARTITION BY fsym, tsym ORDER BY date) AS all_time_high
+  FROM e)
+SELECT fsym, tsym, CAST(date AS TIMESTAMP) AS date, CAST(ts AS TIMESTAMP) AS request_timestamp, close,
+       close - close_lag1 AS change, (close - close_lag1) / nullif(close_lag1, 0) AS pct_change, all_time_high FROM w""",
         "change": derived_sql("hour", "fsym, tsym, date, hour, close, close_lag1, change"),
         "pct_change": derived_sql(
             "minute", "fsym, tsym, date, hour, minute, close, close_lag1, pct_change"

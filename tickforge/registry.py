@@ -60,6 +60,9 @@ def _typed_back(df: DataFrame, numbers=BAR_NUMBERS, whole=("time",)) -> DataFram
 # window chunks over this many rows (only copies of one (pair, time) make one
 # that large) are split by salt; see operators.derive.pair_windows
 COPY_LIMIT = 1_000_000
+# the same limit where the testdata is to exceed it
+COPY_ROWS = 100
+
 
 def change_daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     """W1d + W2 + N1-N3: the derived daily bars (flagship)."""
@@ -81,6 +84,13 @@ def all_time_high(spark: SparkSession, sf_dir: str) -> DataFrame:
     return change_daily(spark, sf_dir).select("date", "fsym", "tsym", "high", "all_time_high")
 
 
+def change_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 + W2 where every bar time has many copies, each with its own request: pairs of
+    more than ``COPY_ROWS`` rows are cut into ranges of equal row count."""
+    bars = derive_bars(fx.requested_bars(spark, sf_dir), DAY, split_copies_over=COPY_ROWS, keep=("request_timestamp",))
+    return bars.select("fsym", "tsym", "date", "request_timestamp", "close", "change", "pct_change", "all_time_high")
+
+
 def change(spark: SparkSession, sf_dir: str) -> DataFrame:
     """N1 on hourly bars."""
     bars = derive_bars(
@@ -500,6 +510,7 @@ def queries() -> dict[str, Query]:
         "change_hourly": change_hourly,
         "change_minute": change_minute,
         "all_time_high": all_time_high,
+        "change_copies": change_copies,
         "change": change,
         "pct_change": pct_change,
         "pct_from_ath": pct_from_ath,
