@@ -130,6 +130,31 @@ def bar_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def chained_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bar_pages`` as an interrupted back-fill left them: ``TimeFrom`` of every fourth page
+    lies 25 hours early (the next page overlaps it), of VIEW page 4 is not landed,
+    of SIGNUP nothing from page 3 on, and every page of PURCHASE was landed twice."""
+    pages = bar_pages(spark, sf_dir)
+    early = F.expr("""regexp_replace(body, '"TimeFrom":[0-9]+', concat('"TimeFrom":',
+        cast(cast(regexp_extract(body, '"TimeFrom":([0-9]+)', 1) as bigint) - 90000 as string)))""")
+    pages = pages.withColumn("body", F.when((F.col("page_no") % 4 == 1) & (F.col("status") == 200), early).otherwise(F.col("body")))
+    pages = pages.filter(~((F.col("fsym") == "VIEW") & (F.col("page_no") == 4)) & ~((F.col("fsym") == "SIGNUP") & (F.col("page_no") >= 3)))
+    return pages.unionByName(pages.filter(F.col("fsym") == "PURCHASE"))
+
+
+def extended_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``bar_pages`` whose even pages carry two fields more in every bar, one of them nested."""
+    more = F.concat(F.lit('"conversionType":"direct","extra":{"page":'), F.col("page_no"), F.lit('},"volumeto":'))
+    body = F.regexp_replace(F.col("body"), F.lit('"volumeto":'), more)
+    return bar_pages(spark, sf_dir).withColumn("body", F.when(F.col("page_no") % 2 == 0, body).otherwise(F.col("body")))
+
+
+def extended_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``chart_documents`` whose odd blocks carry a unit in every point."""
+    body = F.regexp_replace("body", '"y":', '"unit":"USD","y":')
+    return chart_documents(spark, sf_dir).withColumn("body", F.when(F.col("block") % 2 == 1, body).otherwise(F.col("body")))
+
+
 def coin_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coin-list responses built from ``customer``: one keyed object per
     nation and block of 256 customer keys (bounded documents).

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from tickforge.functions.symbols import symbol_bucket
 from tickforge.functions.temporal import last_utc_close
+from tickforge.plans.scans import numbered
 
 # Quote symbols of the back-fill jobs, page size of a paged
 # back-fill, endpoint paths per grain and the two URL suffix layouts.
@@ -47,6 +48,20 @@ def bucket_pairs(pairs: DataFrame) -> DataFrame:
     )
 
 
+def work_units(pairs: DataFrame, unit_pairs: int, rows_per_range: int = 1_000_000) -> DataFrame:
+    """A3 as work units: ``fsym_char1, unit, fsym, tsym``.
+
+    The pairs of a bucket, in the order (``fsym``, ``tsym``), in units 1, 2, ... of
+    ``unit_pairs`` pairs; the last unit of a bucket may be smaller.  Repeated pairs count
+    each, NULL symbols form a bucket of their own.  A bucket with most of the pairs is
+    numbered by many tasks (``plans.scans.numbered``).
+    """
+    if unit_pairs < 1:
+        raise ValueError("unit_pairs must be at least 1")
+    rows = numbered(pairs.select("fsym_char1", "fsym", "tsym"), ["fsym_char1"], ["fsym", "tsym"], rows_per_range)
+    return rows.select("fsym_char1", F.expr(f"(_row - 1) div {int(unit_pairs)} + 1").alias("unit"), "fsym", "tsym")
+
+
 def cluster_by_bucket(pairs: DataFrame) -> DataFrame:
     """A3 as a job layout: the pairs of one bucket together, one work unit
     each; a ``rebalance`` so AQE splits a bucket with very many pairs."""
@@ -63,12 +78,15 @@ def request_manifest(
     all_data: bool = True,
     limit: int = PAGE_LIMIT,
     as_of: Column | str | None = None,
+    to_ts: str | None = None,
+    keep: tuple[str, ...] = (),
 ) -> DataFrame:
-    """One request URL per pair.
+    """One request URL per row of ``pairs``; ``keep`` names columns to keep before it.
 
     * day + all data:         ``...&allData=true``
     * hour/minute + all data: ``...&limit=2000&toTs=<last UTC close>``
-      (the first page; later pages follow the previous ``TimeFrom``)
+      (the first page), or ``&toTs=`` the column ``to_ts`` (a later page, see
+      ``operators.frontier.next_requests``)
     * otherwise:              ``...&limit=<limit>``
 
     then always ``&e=<exchange>&extraParams=<app_name>``.
@@ -80,14 +98,14 @@ def request_manifest(
     if all_data and grain == "day":
         middle = F.lit("&allData=true")
     elif all_data:
-        if as_of is None:
-            raise ValueError("as_of is required for a paged back-fill")
-        as_of_col = F.lit(as_of) if isinstance(as_of, str) else as_of
-        middle = F.format_string(f"&limit={PAGE_LIMIT}&toTs=%d", last_utc_close(as_of_col))
+        if as_of is None and to_ts is None:
+            raise ValueError("as_of or to_ts is required for a paged back-fill")
+        until = F.col(to_ts) if to_ts else last_utc_close(F.lit(as_of) if isinstance(as_of, str) else as_of)
+        middle = F.format_string(f"&limit={PAGE_LIMIT}&toTs=%d", until)
     else:
         middle = F.lit(f"&limit={int(limit)}")
     tail = F.lit(f"&e={exchange}&extraParams={app_name}")
-    return pairs.select("fsym", "tsym", F.concat(head, middle, tail).alias("url"))
+    return pairs.select("fsym", "tsym", *keep, F.concat(head, middle, tail).alias("url"))
 
 
 def chart_requests(charts: DataFrame, timespan: str = "all", fmt: str = "json") -> DataFrame:

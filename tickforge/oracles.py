@@ -107,6 +107,17 @@ kept AS (
   SELECT pp.* FROM pp LEFT JOIN fs USING (fsym, tsym)
   WHERE fs.stop_page IS NULL OR pp.page_no < fs.stop_page)"""
 
+# headers of an interrupted back-fill (twin of fixtures.chained_pages + page_headers)
+CHAIN = f"""{PAGES},
+hd AS (
+  SELECT fsym, tsym, page_no, (page_no = 9) AS zero, bool_or(failed) AS failed,
+         CASE WHEN bool_or(failed) THEN NULL ELSE count(*) END AS n_bars,
+         CASE WHEN bool_or(failed) THEN NULL ELSE min(time) - CASE WHEN page_no % 4 = 1 THEN 90000 ELSE 0 END END AS time_from,
+         CASE WHEN bool_or(failed) THEN NULL ELSE max(time) END AS last_time
+  FROM pb
+  WHERE NOT (fsym = 'VIEW' AND page_no = 4) AND NOT (fsym = 'SIGNUP' AND page_no >= 3)
+  GROUP BY 1, 2, 3)"""
+
 PART_SYMBOLS = """ps AS (
   SELECT p_partkey, p_brand, p_size,
          CASE WHEN p_partkey % 7 = 0 THEN CAST(p_size AS VARCHAR) || upper(p_name)
@@ -213,6 +224,13 @@ SELECT o_orderkey,
             WHEN o_orderkey % 3 = 2 THEN CAST(CAST(whole AS DATE) AS TIMESTAMP)
             ELSE whole END AS ts
 FROM oi"""
+    landing = f"""WITH {PAGES}
+SELECT pb.fsym, pb.tsym, {bucket.replace('fsym', 'pb.fsym')} AS fsym_char1,
+       CAST(year(bar_ts) AS INTEGER) AS year, CAST(month(bar_ts) AS INTEGER) AS month,
+       CAST(day(bar_ts) AS INTEGER) AS day, pb.time, pb.close, pb.volumefrom,
+       strftime(bar_ts, '%Y-%m-%d %H:%M:%S') AS date, {request_ts} AS request_timestamp
+FROM pb JOIN kept USING (fsym, tsym, page_no)
+WHERE pb.time <= {landing_cutoff}"""
     return {
         # derive
         "change_daily": derived_sql("day"),
@@ -281,22 +299,25 @@ SELECT fsym, tsym, page_no, CASE WHEN failed THEN NULL ELSE time_from END AS tim
         "map_values": """SELECT c_name AS symbol, CASE WHEN c_acctbal > 0 THEN 5 ELSE 4 END AS n_fields
 FROM customer""",
         "flatten_charts": CHART_POINTS,
+        "flatten_bars_rest": f"""WITH {PAGES}
+SELECT fsym, tsym, page_no, time, open, high, low, close, volumefrom, volumeto,
+       CASE WHEN page_no % 2 = 0 THEN '{{"conversionType":"direct","extra":{{"page":' || CAST(page_no AS VARCHAR) || '}}}}' END AS rest
+FROM pb WHERE NOT failed""",
+        "flatten_charts_rest": """SELECT 'n-' || lower(event_type) AS chart, CAST(floor(epoch(ts)) AS BIGINT) AS x, value AS y,
+       CASE WHEN (event_id // 1024) % 2 = 1 THEN '{"unit":"USD"}' END AS rest FROM events""",
         "scan_coins": f"SELECT *, {request_ts} AS request_timestamp FROM ({COINS})",
         "scan_bars": scanned_day,
         "scan_bars_prefix": scanned_day + " WHERE fsym_char1 = 'C'",
         # sinks and layouts
-        "sink_landing": f"""WITH {PAGES}
-SELECT pb.fsym, pb.tsym, {bucket.replace('fsym', 'pb.fsym')} AS fsym_char1,
-       CAST(year(bar_ts) AS INTEGER) AS year, CAST(month(bar_ts) AS INTEGER) AS month,
-       CAST(day(bar_ts) AS INTEGER) AS day, pb.time, pb.close, pb.volumefrom,
-       strftime(bar_ts, '%Y-%m-%d %H:%M:%S') AS date, {request_ts} AS request_timestamp
-FROM pb JOIN kept USING (fsym, tsym, page_no)
-WHERE pb.time <= {landing_cutoff}""",
+        "sink_landing": landing,
+        "sink_landing_rerun": landing,
+        "sink_landing_whole": landing.replace("JOIN kept USING (fsym, tsym, page_no)\nWHERE", "WHERE NOT failed AND"),
         "sink_flat": bars_sql("day", "fsym, tsym, time, open, high, low, close, volumefrom, volumeto"),
         "sink_derived": derived_sql("hour"),
         "sort_derived": derived_sql("day"),
         "cluster_output": derived_sql("hour"),
         "sink_charts": CHART_POINTS,
+        "sink_json_packed": CHART_POINTS + " WHERE event_type <> 'view'",
         "sink_json": CHART_POINTS,
         # symbols and pairs
         "symbol_bucket": f"WITH {PART_SYMBOLS} SELECT p_partkey, fsym, {bucket} AS fsym_char1 FROM ps",
@@ -306,6 +327,41 @@ pr AS (SELECT fsym, tsym FROM (SELECT DISTINCT fsym FROM ps), {QUOTES_SQL})
 SELECT {bucket} AS fsym_char1, count(*) AS n_pairs, count(DISTINCT fsym) AS n_symbols
 FROM pr GROUP BY 1""",
         "pair_product": f"SELECT fsym, tsym FROM (SELECT DISTINCT p_brand AS fsym FROM part), {QUOTES_SQL}",
+        "work_units": f"""WITH {PART_SYMBOLS},
+d AS (SELECT DISTINCT fsym FROM ps),
+p AS (SELECT {bucket} AS fsym_char1, fsym, tsym FROM d, {QUOTES_SQL}),
+n AS (SELECT *, row_number() OVER (PARTITION BY fsym_char1 ORDER BY fsym, tsym) AS row FROM p)
+SELECT fsym_char1, CAST((row - 1) // 100 + 1 AS BIGINT) AS unit, fsym, tsym FROM n""",
+        "chart_requests": """SELECT DISTINCT 'n-' || lower(event_type) AS chart,
+       'https://api.example.org/charts/n-' || lower(event_type) || '?timespan=all&format=json' AS request_url FROM events""",
+        "page_links": f"""WITH {CHAIN},
+m AS (
+  SELECT h.fsym, h.tsym, h.page_no, h.last_time, b.time_from AS expected_to, h.last_time - b.time_from AS ahead,
+         CASE WHEN h.failed THEN 'failed' WHEN h.page_no = 0 THEN 'first' WHEN b.page_no IS NULL THEN 'missing_page'
+              WHEN b.failed THEN 'failed' WHEN h.last_time > b.time_from THEN 'overlap'
+              WHEN h.last_time < b.time_from - 60 THEN 'gap' ELSE 'joined' END AS link
+  FROM hd h LEFT JOIN hd b ON h.fsym = b.fsym AND h.tsym = b.tsym AND h.page_no = b.page_no + 1)
+SELECT fsym, tsym, page_no, link, expected_to, last_time,
+       CAST(CASE WHEN link IN ('joined', 'overlap', 'gap') THEN CASE WHEN ahead >= 0 THEN ahead // 60 + 1 ELSE 0 END END AS BIGINT) AS shared_bars,
+       CAST(CASE WHEN link IN ('joined', 'overlap', 'gap') THEN CASE WHEN ahead < -60 THEN (-ahead) // 60 - 1 ELSE 0 END END AS BIGINT) AS missing_bars
+FROM m""",
+        "next_requests": f"""WITH {CHAIN},
+r AS (SELECT *, row_number() OVER (PARTITION BY fsym, tsym ORDER BY page_no) - 1 AS place FROM hd),
+c AS (
+  SELECT fsym, tsym, count(*) FILTER (place = page_no) AS missing, min(page_no) FILTER (failed OR zero) AS stop_page FROM r GROUP BY 1, 2),
+f AS (SELECT fsym, tsym, CAST(least(missing, coalesce(stop_page, missing)) AS INTEGER) AS next_page, stop_page FROM c),
+s AS (
+  SELECT f.fsym, f.tsym, f.next_page, l.time_from AS to_ts,
+         CASE WHEN f.stop_page IS NULL OR f.stop_page <> f.next_page THEN 'open' WHEN n.failed THEN 'failed' ELSE 'done' END AS state
+  FROM f LEFT JOIN hd l ON f.fsym = l.fsym AND f.tsym = l.tsym AND l.page_no = f.next_page - 1
+         LEFT JOIN hd n ON f.fsym = n.fsym AND f.tsym = n.tsym AND n.page_no = f.next_page),
+a AS (
+  SELECT fsym, tsym, state, next_page, coalesce(to_ts, {fixture_cutoff}) AS to_ts FROM s WHERE state <> 'done'
+  UNION ALL
+  SELECT fsym, tsym, 'new', 0, {fixture_cutoff} FROM (SELECT DISTINCT p_brand AS fsym FROM part), {QUOTES_SQL})
+SELECT fsym, tsym, state, CAST(next_page AS INTEGER) AS next_page, CAST(to_ts AS BIGINT) AS to_ts,
+       '{base}/histominute?fsym=' || fsym || '&tsym=' || tsym || '&limit=2000&toTs=' || CAST(to_ts AS VARCHAR) || {tail} AS url
+FROM a""",
         "request_manifest": manifest,
         "chart_name": f"""SELECT chart, chart AS name
 FROM (SELECT DISTINCT {EVENT_CHART} AS chart, event_id // 1024 AS block FROM events)""",

@@ -16,7 +16,7 @@ from tickforge import fixtures as fx
 from tickforge.functions import numeric as fn
 from tickforge.functions import symbols as fs
 from tickforge.functions import temporal as ft
-from tickforge.operators import holidays, landing, pairs, quality
+from tickforge.operators import frontier, holidays, landing, pairs, quality
 from tickforge.operators.derive import (
     DAY,
     HOUR,
@@ -39,6 +39,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 LANDING_AS_OF = "2024-01-30 12:00:00"
 RECENT_N = 24
 PREFIX = "C"
+UNIT_PAIRS = 100
+PACKED_BYTES = 256 << 10
 MANIFEST_BASE = "https://min-api.example.com/data"
 MANIFEST_APP = "tickforge_test"
 MANIFEST_EXCHANGE = "AGG"
@@ -115,8 +117,8 @@ def pct_from_ath(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def project_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """P4 (minute output columns), here through the plain per-pair window."""
-    return derive_bars(fx.landed_bars(spark, sf_dir, "minute"), MINUTE, chunked=False)
+    """P4 (minute output columns)."""
+    return derive_bars(fx.landed_bars(spark, sf_dir, "minute"), MINUTE, split_copies_over=COPY_LIMIT)
 
 
 def typed_bars_q(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -254,6 +256,18 @@ def flatten_charts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resp.flatten_charts(fx.chart_documents(spark, sf_dir))
 
 
+def flatten_bars_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S5 with the fields no schema names kept (as JSON text here)."""
+    bars = resp.flatten_bars(fx.extended_pages(spark, sf_dir), rest=True)
+    return bars.withColumn("rest", F.to_json("rest"))
+
+
+def flatten_charts_rest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 with the fields no schema names kept (as JSON text here)."""
+    points = resp.flatten_charts(fx.extended_charts(spark, sf_dir), rest=True)
+    return points.withColumn("rest", F.to_json("rest"))
+
+
 def scan_coins(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S3: coin list landed by the coin-list job, read back."""
     folder = scratch_path(spark, "coins")
@@ -286,6 +300,25 @@ def sink_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1 via the landing job: pages -> cut -> bars -> stamped text -> run folder."""
     root = scratch_path(spark, "landing")
     run = jobs.landing_job(fx.bar_pages(spark, sf_dir), root, "fixture", LANDING_AS_OF, fx.FIXTURE_REQUEST_TS)
+    return _landed_back(spark, run)
+
+
+def sink_landing_rerun(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1: a run landed twice, read by its manifest."""
+    root = scratch_path(spark, "landing")
+    for _ in range(2):
+        jobs.landing_job(fx.bar_pages(spark, sf_dir), root, "fixture", LANDING_AS_OF, fx.FIXTURE_REQUEST_TS)
+    return _landed_back(spark, src.committed_run(spark, root, "fixture"))
+
+
+def sink_landing_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1 for single responses: no cut, bars without volume land too."""
+    root = scratch_path(spark, "landing")
+    run = jobs.landing_job(fx.bar_pages(spark, sf_dir), root, "fixture", LANDING_AS_OF, fx.FIXTURE_REQUEST_TS, all_data=False)
+    return _landed_back(spark, run)
+
+
+def _landed_back(spark: SparkSession, run: str) -> DataFrame:
     back = _typed_back(src.scan_bars(spark, run))
     return back.select(
         "fsym", "tsym", "fsym_char1", "year", "month", "day", "time", "close",
@@ -305,7 +338,7 @@ def sink_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     run = _landed_run(spark, sf_dir, "hour")
     out = scratch_path(spark, "derived")
     jobs.derive_job(spark, run, out, HOUR)
-    return spark.read.parquet(out).select(*output_columns(HOUR))
+    return src.scan_derived(spark, out, HOUR)
 
 
 def sort_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -341,6 +374,16 @@ def sink_json(spark: SparkSession, sf_dir: str) -> DataFrame:
     return resp.flatten_charts(back)
 
 
+def sink_json_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K4 packed: chart documents in packs, read back by name and flattened."""
+    docs = fx.chart_documents(spark, sf_dir)
+    named = docs.select(F.col("chart").alias("folder"), F.format_string("block-%d", "block").alias("name"), "body")
+    path = scratch_path(spark, "packed")
+    writers.sink_json_packed(named, path, pack_bytes=PACKED_BYTES)
+    wanted = named.filter("folder <> 'n-view'").select("folder", "name")
+    return resp.flatten_charts(resp.read_packed(spark, path, wanted).withColumnRenamed("folder", "chart"))
+
+
 # ------------------------------------------------------------ symbols and pairs
 
 def symbol_bucket(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -364,6 +407,11 @@ def bucket_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pairs.bucket_pairs(_symbol_pairs(spark, sf_dir))
 
 
+def work_units(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3: the pairs of each bucket in numbered units."""
+    return pairs.work_units(_symbol_pairs(spark, sf_dir), UNIT_PAIRS)
+
+
 def pair_product(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Brands x quote symbols."""
     brands = fx.table(spark, sf_dir, "part").select(F.col("p_brand").alias("fsym")).distinct()
@@ -382,6 +430,26 @@ def request_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return landing.concat_pairs(frames)
 
 
+def chart_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5 for charts: the request URL of every landed chart document's chart."""
+    docs = fx.chart_documents(spark, sf_dir).select("chart", "url").distinct()
+    return pairs.chart_requests(docs).select("chart", "request_url")
+
+
+def page_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How the landed pages of an interrupted back-fill meet; gaps and overlaps."""
+    return frontier.page_links(frontier.page_headers(fx.chained_pages(spark, sf_dir)), MINUTE.bar_seconds)
+
+
+def next_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """X5, resumed: the next request of every pair, from the landed pages; pairs of
+    brands have no page yet."""
+    headers = frontier.page_headers(fx.chained_pages(spark, sf_dir))
+    wanted = pair_product(spark, sf_dir).unionByName(fx.pair_events(spark, sf_dir).select("fsym", "tsym"))
+    return frontier.next_requests(headers, "minute", as_of=fx.FIXTURE_AS_OF, pairs=wanted,
+                                  base_url=MANIFEST_BASE, app_name=MANIFEST_APP, exchange=MANIFEST_EXCHANGE)
+
+
 def chart_name(spark: SparkSession, sf_dir: str) -> DataFrame:
     """X3 on the chart URLs."""
     docs = fx.chart_documents(spark, sf_dir)
@@ -536,23 +604,32 @@ def queries() -> dict[str, Query]:
         "flatten_coins": flatten_coins,
         "map_values": map_values,
         "flatten_charts": flatten_charts,
+        "flatten_bars_rest": flatten_bars_rest,
+        "flatten_charts_rest": flatten_charts_rest,
         "scan_coins": scan_coins,
         "scan_bars": scan_bars,
         "scan_bars_prefix": scan_bars_prefix,
         # sinks and layouts
         "sink_landing": sink_landing,
+        "sink_landing_rerun": sink_landing_rerun,
+        "sink_landing_whole": sink_landing_whole,
         "sink_flat": sink_flat,
         "sink_derived": sink_derived,
         "sort_derived": sort_derived,
         "cluster_output": cluster_output,
         "sink_charts": sink_charts,
         "sink_json": sink_json,
+        "sink_json_packed": sink_json_packed,
         # symbols and pairs
         "symbol_bucket": symbol_bucket,
         "distinct_buckets": distinct_buckets,
         "bucket_pairs": bucket_pairs,
+        "work_units": work_units,
         "pair_product": pair_product,
         "request_manifest": request_manifest,
+        "chart_requests": chart_requests,
+        "page_links": page_links,
+        "next_requests": next_requests,
         "chart_name": chart_name,
         "kebab_key": kebab_key,
         # date and time

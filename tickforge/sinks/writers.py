@@ -7,9 +7,10 @@ not leave partial files behind.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tickforge.operators.quality import guard
 from tickforge.sources.landed import LANDING_PARTITIONS
 
 # Layouts of the derived-bar output.
@@ -118,6 +119,41 @@ def sink_json(docs: DataFrame, path: str) -> None:
     checked.write.mode("errorifexists").partitionBy("folder", "name").text(path)
 
 
+# Bytes of documents in one packed file.
+PACK_BYTES = 32 << 20
+
+
+def sink_json_packed(docs: DataFrame, path: str, pack_bytes: int = PACK_BYTES) -> None:
+    """K4 for many documents: files of about ``pack_bytes`` with a document a line
+    (``<path>/packs/pack=N``), and an index of where each begins (``<path>/index``: ``folder,
+    name, pack, offset, length``, in bytes, ordered by name).
+
+    Columns: ``folder``, ``name``, ``body``.  Bodies are checked and written in compact form
+    as in ``sink_json``; equal rows are one document, two bodies of one name fail the job.
+    Documents go to packs by a hash of their name, so packs are of like size and no
+    folder is one task; a document larger than a pack makes its own larger.
+    """
+    for part in ("folder", "name"):
+        docs = guard(docs, {f"document without {part}": F.col(part).isNull()})
+    text = F.to_json(F.parse_json("body"))
+    one = docs.groupBy("folder", "name").agg(F.min("body").alias("body"), F.max("body").alias("_other"))
+    one = guard(one, {"two documents of one name": F.col("body") != F.col("_other")}).drop("_other")
+    one = one.withColumn("value", text).withColumn("length", F.octet_length("value").cast("long")).drop("body")
+    # the size is all that is read here; the compact texts are not kept
+    total = docs.agg(F.coalesce(F.sum(F.octet_length("body")), F.lit(0))).first()[0]
+    packs = max(1, -(-total // pack_bytes))
+    one = one.withColumn("pack", F.pmod(F.xxhash64("folder", "name"), F.lit(packs)).cast("int"))
+    before = Window.partitionBy("pack").orderBy("folder", "name").rowsBetween(Window.unboundedPreceding, -1)
+    placed = one.withColumn("offset", F.coalesce(F.sum(F.col("length") + 1).over(before), F.lit(0)))
+    # rows of a pack are in one task, in the order of their offsets: one file, no line moves
+    (placed.sortWithinPartitions("pack", "offset").select("value", "pack")
+     .write.mode("errorifexists").option("lineSep", "\n").partitionBy("pack").text(f"{path}/packs"))
+    index = placed.select("folder", "name", "pack", "offset", "length").sort("folder", "name")
+    index.write.mode("errorifexists").parquet(f"{path}/index")
+
+
 def sink_charts(points: DataFrame, path: str, mode: str = "errorifexists") -> None:
-    """K5: chart rows, one folder per chart, in one job."""
+    """K5: chart rows, one folder per chart, in one job.  Rows are clustered by chart first
+    (a ``rebalance``: a large chart is split over several tasks), so a chart is a few files."""
+    points = points.hint("rebalance", "chart")
     points.write.mode(mode).partitionBy("chart").parquet(path)
