@@ -50,7 +50,7 @@ def test_landing_round_trip_and_prefix_pruning(spark):
         writers.sink_landing(landed, run + "-x", partition_cols=[])
 
 
-@pytest.mark.parametrize("layout", ["range", "chunk", "pair", "bucket"])
+@pytest.mark.parametrize("layout", ["range", "counts", "chunk", "pair", "bucket"])
 def test_derive_job_layouts_agree(spark, layout):
     run = src.run_path(scratch_path(spark, "t-landed"), "r1")
     writers.sink_landing(fx.landed_bars(spark, SF_SMALL, "minute"), run)

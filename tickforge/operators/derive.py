@@ -51,7 +51,7 @@ from tickforge.functions.temporal import (
     unix_to_ts,
 )
 from tickforge.operators.landing import dedupe_bars
-from tickforge.plans.joins import BROADCAST_BYTES, join_small, written_small
+from tickforge.plans.joins import BROADCAST_BYTES, join_small
 from tickforge.plans.scans import LOWEST, cut_ranges
 from tickforge.session import checkpoint_root
 
@@ -193,7 +193,8 @@ def pair_windows(
       from the rows the chunk summary has counted (see ``_places``); no row is read
       for it,
     * ``range``: such ranges by Spark's sampling, which reads the input once more.
-      ``counts`` falls back to it where its table of places is too large to broadcast.
+      ``counts`` falls back to it where its table of places is too large to broadcast,
+    * ``auto``: ``counts`` from ``COUNTED_ROWS`` rows on; fewer are sampled sooner than counted.
 
     Bars of one (pair, time) follow each other by request time, then by a hash
     of their content, in every form.
@@ -204,8 +205,8 @@ def pair_windows(
     It and ``counts`` run one job first (the chunk summary, checkpointed); with no
     such chunk the plan is the plain chunked one.
     """
-    if partitioning not in ("hash", "range", "counts"):
-        raise ValueError("partitioning must be 'hash', 'range' or 'counts'")
+    if partitioning not in ("hash", "range", "counts", "auto"):
+        raise ValueError("partitioning must be 'hash', 'range', 'counts' or 'auto'")
     df = _with_tie(_with_bucket(df))
     keys = list(PAIR_KEYS)
     if chunk_seconds is None:
@@ -222,7 +223,7 @@ def pair_windows(
     # 1. one summary row per (pair, chunk), partially aggregated before its
     #    own small shuffle; the last close follows the window's whole order
     #    (time, request, content), and a NULL time still ranks (lowest)
-    counted = split_copies_over is not None or partitioning == "counts"
+    counted = split_copies_over is not None or partitioning in ("counts", "auto")
     aggs = [F.max_by("close", F.struct(_order_key(order_col), *TIE)).alias("_last_close")]
     if with_ath:
         aggs.append(F.max(null_if_zero("high")).alias("_chunk_ath"))
@@ -234,11 +235,15 @@ def pair_windows(
         checkpoint_root(df.sparkSession)  # the shared folder (fails on a cluster without one)
         summary = summary.checkpoint(eager=True)
         is_hot = F.col("_n") > split_copies_over if split_copies_over is not None else F.lit(False)
-        total, hot_rows = summary.agg(F.sum("_n"), F.sum(F.when(is_hot, F.col("_n")))).first()
+        total, hot_rows, pairs, chunks = summary.agg(
+            F.sum("_n"), F.sum(F.when(is_hot, F.col("_n"))), F.approx_count_distinct(F.struct(*keys)), F.count(F.lit(1))).first()
         if hot_rows:
             hot = summary.filter(is_hot).select(_chunk_key(keys)).distinct()
+        if partitioning == "auto":
+            partitioning = "counts" if (total or 0) >= COUNTED_ROWS else "range"
         if partitioning == "counts":
-            places = _places(summary.withColumn("_n", F.when(is_hot, 0).otherwise(F.col("_n"))), keys, (total or 0) - (hot_rows or 0))
+            places = _places(summary.withColumn("_n", F.when(is_hot, 0).otherwise(F.col("_n"))), keys,
+                             (total or 0) - (hot_rows or 0), pairs, chunks)
         summary = summary.drop("_n")
 
     # 2. what each chunk inherits from the chunks before it (small window)
@@ -354,8 +359,13 @@ def _split_hot_chunks(
     return stream
 
 
+COUNTED_ROWS = 2_000_000
 # Rows of a place at least, so that small inputs make few tasks and files.
 LEAST_ROWS = 10_000
+# Bytes of a pair's entry and of a place in the broadcast table of places.
+PAIR_BYTES, PLACE_BYTES = 128, 16
+# Chunks whose running count one small window takes.
+FEW_CHUNKS = 20_000
 
 
 @dataclass(frozen=True)
@@ -381,41 +391,66 @@ class _Places:
         return placed.repartitionById(self.count + ranges, F.col("_place"))
 
 
-def _places(summary: DataFrame, keys: list[str], total: int) -> _Places | None:
+def _places(summary: DataFrame, keys: list[str], total: int, pairs: int, chunks: int) -> _Places | None:
     """Ranges of (bucket, quote, symbol, chunk) of about equal row count from the counts
     of the chunk summary; None if the table of their beginnings is too large.
 
-    The running count is taken in three levels - output folders, pairs of a folder,
-    chunks of a pair - so no window holds more than one of these groups.  The table
-    has an entry per pair and per place, whatever the number of rows.
+    Up to ``FEW_CHUNKS`` chunks are counted in one window; beyond, the running count is
+    taken in three levels - output folders, pairs of a folder, chunks of a pair - so no
+    window holds more than one of these groups.  The table has an entry per pair and per
+    place, whatever the number of rows.
     """
     spark = summary.sparkSession
+    # what the table holds is known before it is built: a hash and two arrays a pair, an
+    # entry a place (the number of pairs is an estimate within 5 %)
     target = max(LEAST_ROWS, -(-total // int(spark.conf.get("spark.sql.shuffle.partitions"))))
-    folder, pair = keys[:2], keys
+    count = max(1, -(-total // target) + 1)
+    if 1.2 * pairs * PAIR_BYTES + count * PLACE_BYTES > BROADCAST_BYTES:
+        return None
+
+    def before(by: list[str], order: list[str], n: str) -> Column:
+        w = Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+        return F.coalesce(F.sum(n).over(w), F.lit(0))
+
+    if chunks <= FEW_CHUNKS:
+        every = [*keys, "_chunk"]
+        running = summary.withColumn("_before", before([], every, "_n"))
+        placed = running.withColumns({
+            "_place": F.floor(F.col("_before") / F.lit(target)).cast("int"),
+            "_was": F.floor(F.lag("_before").over(Window.partitionBy(*keys).orderBy("_chunk")) / F.lit(target)).cast("int")})
+    else:
+        placed = _placed_in_levels(summary, keys, target, before)
+    begins = placed.filter(~F.col("_place").eqNullSafe(F.col("_was"))).select(
+        F.xxhash64(*keys).alias("_pair"), F.struct(F.coalesce("_chunk", F.lit(LOWEST)).alias("_start"), "_place").alias("_s"))
+    table = begins.groupBy("_pair").agg(F.sort_array(F.collect_list("_s")).alias("_s")).select(
+        "_pair", F.col("_s._start").alias("_starts"), F.col("_s._place").alias("_numbers"))
+    return _Places(table, count)
 
-    def before(df: DataFrame, by: list[str], order: str, name: str) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-        return df.withColumn(name, F.coalesce(F.sum("_n").over(w), F.lit(0)))
+
+def _placed_in_levels(summary: DataFrame, keys: list[str], target: int, before) -> DataFrame:
+    """Chunks with their place and that of the chunk before (``_was``), by running counts
+    over folders, over the pairs of a folder, and over the chunks of a pair."""
+    folder = keys[:2]
 
     def same(left: DataFrame, right: DataFrame, on: list[str]) -> DataFrame:
-        right = right.withColumnsRenamed({c: f"_r_{c}" for c in on}).drop("_n")
         cond = F.lit(True)
         for c in on:
             cond = cond & F.col(c).eqNullSafe(F.col(f"_r_{c}"))
-        return left.join(right, cond).drop(*[f"_r_{c}" for c in on])
-
-    pairs = summary.groupBy(*pair).agg(F.sum("_n").alias("_n"))
-    folders = pairs.groupBy(*folder).agg(F.sum("_n").alias("_n")).withColumn("_at", F.struct(*folder))
-    folders = before(folders, [], "_at", "_in_all").drop("_at")  # one row per output folder
-    pairs = same(before(pairs, folder, "fsym", "_in_folder"), folders, folder)
-    chunks = same(before(summary.select(*keys, "_chunk", "_n"), pair, "_chunk", "_in_pair"), pairs, pair)
-    place = F.floor((F.col("_in_all") + F.col("_in_folder") + F.col("_in_pair")) / F.lit(target)).cast("int")
-    starts = chunks.groupBy(F.xxhash64(*keys).alias("_pair"), place.alias("_place")).agg(
-        F.min(F.coalesce("_chunk", F.lit(LOWEST))).alias("_start"))
-    table = starts.groupBy("_pair").agg(F.sort_array(F.collect_list(F.struct("_start", "_place"))).alias("_s")).select(
-        "_pair", F.col("_s._start").alias("_starts"), F.col("_s._place").alias("_numbers"))
-    table, fits = written_small(table, 2_000_000, BROADCAST_BYTES)
-    return _Places(table, max(1, -(-total // target) + 1)) if fits else None
+        return left.join(right.withColumnsRenamed({c: f"_r_{c}" for c in on}), cond).drop(*[f"_r_{c}" for c in on])
+
+    w_pair = Window.partitionBy(*keys).orderBy("_chunk")
+    chunks = summary.select(*keys, "_chunk", "_n").withColumns({"_in_pair": before(keys, ["_chunk"], "_n"), "_left": F.lead("_n").over(w_pair).isNull()})
+    chunks = chunks.withColumn("_last", F.lag("_in_pair").over(w_pair))
+    # the last chunk of a pair knows its total, the last pair of a folder the folder's
+    of_pair = chunks.filter("_left").select(*keys, (F.col("_in_pair") + F.col("_n")).alias("_pair_n"))
+    of_pair = of_pair.withColumns({"_in_folder": before(folder, ["fsym"], "_pair_n"),
+                                   "_left": F.lead("_pair_n").over(Window.partitionBy(*folder).orderBy("fsym")).isNull()})
+    of_folder = of_pair.filter("_left").select(*folder, (F.col("_in_folder") + F.col("_pair_n")).alias("_folder_n"))
+    of_folder = of_folder.select(*folder, before([], folder, "_folder_n").alias("_in_all"))  # one row per output folder
+    start = same(of_pair.drop("_left", "_pair_n"), of_folder, folder).select(*keys, (F.col("_in_all") + F.col("_in_folder")).alias("_from"))
+    return same(chunks, start, keys).withColumns({
+        "_place": F.floor((F.col("_from") + F.col("_in_pair")) / F.lit(target)).cast("int"),
+        "_was": F.floor((F.col("_from") + F.col("_last")) / F.lit(target)).cast("int")})
 
 
 def derive_bars(

@@ -313,6 +313,7 @@ FROM pb WHERE NOT failed""",
         "sink_landing_rerun": landing,
         "sink_landing_whole": landing.replace("JOIN kept USING (fsym, tsym, page_no)\nWHERE", "WHERE NOT failed AND"),
         "sink_flat": bars_sql("day", "fsym, tsym, time, open, high, low, close, volumefrom, volumeto"),
+        "sink_derived_counts": derived_sql("hour"),
         "sink_derived": derived_sql("hour"),
         "sort_derived": derived_sql("day"),
         "cluster_output": derived_sql("hour"),

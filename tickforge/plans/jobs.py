@@ -121,8 +121,9 @@ def derive_job(
 ) -> None:
     """Entry 1: landed run -> derived bars of ``grain`` -> partitioned Parquet.
 
-    ``layout``: ``range`` (default: one big shuffle into key ranges of equal row
-    count, skew-proof windows, one or two output folders per task), ``chunk`` (one big hash
+    ``layout``: ``range`` (default: one big shuffle into contiguous key ranges, skew-proof
+    windows, one or two output folders per task; the ranges come from the counts of the
+    chunk summary, for small inputs from a sample), ``counts`` (always from the counts), ``chunk`` (one big hash
     shuffle, skew-proof, but a file per folder and task), ``pair`` (window shuffle +
     folder-clustered rebalance), ``bucket`` (one shuffle by
     (``fsym_char1``, ``tsym``) that the windows reuse; a hot bucket is one
@@ -143,7 +144,7 @@ def derive_job(
         landed,
         g,
         chunked=(layout != "bucket"),
-        partitioning="counts" if layout == "range" else "hash",
+        partitioning={"range": "auto", "counts": "counts"}.get(layout, "hash"),
         split_copies_over=split_copies_over if layout != "bucket" else None,
     )
     sink_derived(bars, out_path, layout=layout)

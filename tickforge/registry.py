@@ -341,6 +341,14 @@ def sink_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     return src.scan_derived(spark, out, HOUR)
 
 
+def sink_derived_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K3 with key ranges from the counts of the chunk summary: no sampling read."""
+    run = _landed_run(spark, sf_dir, "hour")
+    out = scratch_path(spark, "derived")
+    jobs.derive_job(spark, run, out, HOUR, layout="counts")
+    return src.scan_derived(spark, out, HOUR)
+
+
 def sort_derived(spark: SparkSession, sf_dir: str) -> DataFrame:
     """O2: derived daily bars in the reference output layout."""
     return writers.sort_derived(change_daily(spark, sf_dir))
@@ -615,6 +623,7 @@ def queries() -> dict[str, Query]:
         "sink_landing_whole": sink_landing_whole,
         "sink_flat": sink_flat,
         "sink_derived": sink_derived,
+        "sink_derived_counts": sink_derived_counts,
         "sort_derived": sort_derived,
         "cluster_output": cluster_output,
         "sink_charts": sink_charts,

@@ -15,7 +15,7 @@ from tickforge.sources.landed import LANDING_PARTITIONS
 
 # Layouts of the derived-bar output.
 DERIVED_PARTITIONS = ("fsym_char1", "tsym")
-LAYOUTS = ("chunk", "range", "pair", "bucket")
+LAYOUTS = ("chunk", "range", "counts", "pair", "bucket")
 
 
 def sink_landing(
@@ -83,10 +83,9 @@ def sink_derived(
       sorted by (``fsym_char1``, ``tsym``, ``fsym``, time), so the writer
       adds neither a shuffle nor a sort, and no task holds more than a few
       pair-chunks.  A task writes one file per folder it holds rows of.
-    * ``range`` (default): the windows' one shuffle is a range partitioning on
+    * ``range`` (default), ``counts``: the windows' one shuffle is a partitioning by ranges of
       (``fsym_char1``, ``tsym``, ``fsym``, chunk) (see ``plans.jobs``), so a
-      task writes to one or two folders: few files, one shuffle, plus one
-      sampling pass over the input.
+      task writes to one or two folders: few files, one shuffle.
     * ``pair``: folder-clustered output (O2 + O4): a second full shuffle,
       rebalanced so a hot folder is split over several tasks, each file
       holding one folder's rows sorted by symbol and date.  Fewer, larger
