@@ -28,3 +28,15 @@ def test_new_data_is_joined_with_the_index(spark, make_docs):
     plan = index.new_only(index.rows().select("digest"))._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" in plan and "Exchange" not in plan.replace("AdaptiveSparkPlan", "")
     assert dedup(make_docs([]), index).count() == 0
+
+
+def test_a_second_batch_keeps_no_row_of_a_known_text(spark, make_docs):
+    """Row keys start anew with every batch: null and repeated ids, the same row again."""
+    index = DigestIndex(spark, scratch_path(spark, "ix"), 4)
+    assert [r["kept"] for r in dedup(make_docs([(0, "a")]), index).collect()] == [True]
+    out = dedup(make_docs([(None, "a"), (0, "a"), (0, "b"), (0, "b"), (None, "b"), (None, None), (3, "")]), index).collect()
+    got = sorted((r["doc_id"] is not None, r["doc_id"] or 0, r["keep_id"], r["group_size"], r["kept"]) for r in out)
+    assert [g for g in got if g[2] == 0 and g[3] == 1] == [(False, 0, 0, 1, False), (True, 0, 0, 1, False)]  # text a
+    assert sum(r["kept"] for r in out) == 2
+    assert sorted((r["doc_id"], r["group_size"]) for r in out if r["kept"]) == [(0, 3), (3, 2)]
+    assert not any(r["kept"] for r in dedup(make_docs([(0, "a"), (7, "b")]), index).collect())

@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from tickforge.llm.common import read_table, with_row_key
 from tickforge.session import scratch_path
 
-DIGEST_COLUMNS = "digest BINARY, keep_rid BIGINT, keep_id BIGINT, group_size BIGINT"
+DIGEST_COLUMNS = "digest BINARY, batch STRING, keep_rid BIGINT, keep_id BIGINT, group_size BIGINT"
 
 
 def digests(docs: DataFrame) -> DataFrame:
@@ -50,8 +50,8 @@ class DigestIndex:
         """The groups whose digest the index lacks (sort-merge anti-join)."""
         return groups.join(self.rows().hint("merge"), "digest", "left_anti")
 
-    def append(self, found: DataFrame) -> None:
-        """Reduce new rows to groups, anti-join them, append what is new.
+    def append(self, found: DataFrame, batch: str) -> None:
+        """Reduce the rows of a batch to groups, anti-join them, append what is new.
 
         Of equal texts within ``found`` the one with the largest row key (so the
         largest doc_id) stays; a text that the index already has stays
@@ -59,7 +59,7 @@ class DigestIndex:
         """
         groups = found.groupBy("digest").agg(
             F.max(F.struct("rid", "doc_id")).alias("keep"), F.count(F.lit(1)).alias("group_size")
-        ).select("digest", F.col("keep.rid").alias("keep_rid"),
+        ).select("digest", F.lit(batch).alias("batch"), F.col("keep.rid").alias("keep_rid"),
                  F.col("keep.doc_id").alias("keep_id"), "group_size")
         rows = self.new_only(groups).repartition(self.buckets, "digest").sortWithinPartitions("digest")
         (rows.write.format("parquet").mode("append").option("path", self.path)
@@ -71,19 +71,23 @@ def dedup(docs: DataFrame, index: DigestIndex) -> DataFrame:
     ``doc_id, keep_id, group_size, kept, text_sha256``.
 
     Null texts count as empty; empty texts equal each other.  Rows that repeat
-    a doc_id are rows of their own and exactly one row of equal texts is kept;
-    null ids sort below every id.  An empty table gives no rows.
+    a doc_id are rows of their own and exactly one row of equal texts is kept, over
+    all batches that the index has seen: a text it already has keeps no row of this
+    batch, also if the very row it was first kept with is sent again.  Null ids sort
+    below every id.  ``keep_id`` is the row that stays, ``group_size`` the number of equal
+    rows in the batch that brought the text.  An empty table gives no rows.
 
     The decisions are joined on from a plain read of the index, not by bucket:
     both sides are then exchanged, and the adaptive skew join can split the
     rows of a digest that very many documents share.
     """
-    found = digests(with_row_key(docs))
-    index.append(found)
+    found, batch = digests(with_row_key(docs)), uuid.uuid4().hex
+    index.append(found, batch)
     groups = index.spark.read.schema(DIGEST_COLUMNS).parquet(index.path)
     return found.join(groups.hint("merge"), "digest").select(
         "doc_id", "keep_id", "group_size",
-        (F.col("rid") == F.col("keep_rid")).alias("kept"),
+        # row keys are those of one batch
+        ((F.col("batch") == batch) & (F.col("rid") == F.col("keep_rid"))).alias("kept"),
         F.lower(F.hex("digest")).alias("text_sha256"),
     )
 
