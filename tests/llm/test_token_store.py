@@ -40,7 +40,8 @@ def test_empty_table(spark, make_docs):
 
 
 def test_words_join_like_whole_texts(monkeypatch):
-    monkeypatch.setattr(ts, "CACHE_WORDS", 50)
+    monkeypatch.setattr(ts, "CACHE_BYTES", 5_000)
+    monkeypatch.setattr(ts, "JOINED", 7)
     tok, enc, rnd = Tokenizer.from_file(PATH), ts.WordEncoder(PATH), random.Random(5)
     alphabet = ["a", "B", "'s", " ", " ", "\n", "\t", " ", "1", ".", "é", "<|endoftext|>", "\x1c", " "]
     texts = ["".join(rnd.choices(alphabet, k=rnd.randrange(0, 25))) for _ in range(3_000)]
@@ -49,6 +50,19 @@ def test_words_join_like_whole_texts(monkeypatch):
         assert np.frombuffer(code, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+def test_texts_without_spaces_and_the_cache_bound(monkeypatch):
+    """Single words of any length: the same ids, and the cache turns over by bytes."""
+    monkeypatch.setattr(ts, "CACHE_BYTES", 200_000)
+    tok, enc, rnd = Tokenizer.from_file(PATH), ts.WordEncoder(PATH), random.Random(6)
+    texts = ["".join(rnd.choices("abcé漢字😀", k=rnd.choice([1, 50, 20_000]))) for _ in range(60)]
+    texts += [f"{a} {b}" for a, b in zip(texts, reversed(texts))]
+    for k in range(0, len(texts), 10):
+        for text, code in zip(texts[k:k + 10], enc.encode(texts[k:k + 10])):
+            assert np.frombuffer(code, "<u4").tolist() == tok.encode(text, add_special_tokens=False).ids
+        # one generation more than the bound, and the words of one group
+        assert enc.held <= 200_000 + 10 * 20_000 * 12
+
+
 def test_direct_access():
     rnd = random.Random(7)
     ids = [rnd.choice([0, 5, 255, 256, 50_256, 70_000, 2**32 - 1, 1 << 24]) for _ in range(1_000)]

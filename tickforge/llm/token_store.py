@@ -28,7 +28,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window
@@ -40,9 +39,11 @@ from tickforge.session import scratch_path
 MAGIC = b"DAC1"
 CHUNK_BITS = 8
 SHARD_TOKENS = 2_000_000
-CACHE_WORDS = 500_000
-# Fixed value: the pre-token pattern of the byte-level tokenizers.
-PRE_TOKENS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+# The word cache turns over at this size (texts, ids and what a word costs besides);
+# two generations and the words of one group of texts are held.
+CACHE_BYTES = 96 << 20
+WORD_BYTES = 160
+JOINED = 1_000  # new words encoded at once
 GROUP = 100  # texts split into words at once
 END_ID = 0
 
@@ -56,7 +57,7 @@ class WordEncoder:
     The byte-level pre-tokenizer always starts a new pre-token at a single
     space before a character that is no white space, so the ids of a text are
     those of its space-led words one after another.  The tokenizer only sees
-    words that the bounded cache lacks.
+    words that the cache, bounded in bytes, lacks.
     """
 
     #: A space before more white space: there the boundary is not certain.
@@ -67,53 +68,54 @@ class WordEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.model = self.tokenizer.model
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # words of late, and those of the generation before
         self.words: dict[str, bytes] = {}
-        self.parts: dict[str, bytes] = {}
-        # the byte alphabet: printable bytes as themselves, the others from 256 on
-        plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
-        rest = (b for b in range(256) if b not in plain)
-        self.alphabet = {b: 256 + k for k, b in enumerate(rest)}
-        self.pattern = regex.compile(PRE_TOKENS)
-
-    def _part(self, part: str) -> bytes:
-        """Ids of one pre-token by the tokenizer's model."""
-        found = self.model.tokenize(part.encode("utf-8", "surrogatepass").decode("latin-1").translate(self.alphabet))
-        return struct.pack(f"<{len(found)}I", *[t.id for t in found])
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word behind a space."""
-        if any(s in word for s in self.special):
-            ids = self.tokenizer.encode(" " + word, add_special_tokens=False).ids
-            return struct.pack(f"<{len(ids)}I", *ids)
-        out = []
-        for part in self.pattern.findall(" " + word):
-            code = self.parts.get(part)
-            if code is None:
-                code = self.parts[part] = self._part(part)
-            out.append(code)
-        return b"".join(out)
+        self.before: dict[str, bytes] = {}
+        self.held = 0
+
+    def _alone(self, text: str) -> bytes:
+        ids = self.tokenizer.encode(text, add_special_tokens=False).ids
+        return np.asarray(ids, dtype="<u4").tobytes()
 
-    def _learn(self, words: set[str]) -> None:
-        if len(self.parts) > CACHE_WORDS:
-            self.parts.clear()
+    def _keep(self, word: str, code: bytes) -> None:
+        self.words[word] = code
+        self.held += 4 * len(word) + len(code) + WORD_BYTES
+
+    def _learn(self, words: list[str]) -> None:
+        """Ids of new words: many at once as one text, cut where a word begins."""
+        plain = []
         for word in words:
-            self.words[word] = self._word(word)
+            if not word or word[0].isspace() or any(s in word for s in self.special):
+                self._keep(word, self._alone(" " + word))
+            else:
+                plain.append(word)
+        for k in range(0, len(plain), JOINED):
+            part = plain[k:k + JOINED]
+            found = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
+            ids = np.asarray(found.ids, dtype="<u4").tobytes()
+            starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.offsets))
+            spaces = np.cumsum([0] + [len(w) + 1 for w in part])
+            cuts = (4 * np.searchsorted(starts, spaces)).tolist()
+            for word, a, b in zip(part, cuts, cuts[1:]):
+                self._keep(word, ids[a:b])
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         split = [self.BOUNDARY.split(t) if self.RUNS.search(t) else t.split(" ") for t in texts]
         starts = [parts.pop(0) for parts in split]
-        used = set().union(*split)
-        missing = used.difference(self.words)
-        if missing:
-            if len(self.words) + len(missing) > CACHE_WORDS:
-                self.words.clear()
-                missing = used
-            self._learn(missing)
+        if self.held > CACHE_BYTES:  # words not met since the last turn are let go
+            self.before, self.words, self.held = self.words, {}, 0
+        missing = []
+        for word in set().union(*split).difference(self.words):
+            code = self.before.get(word)
+            if code is None:
+                missing.append(word)
+            else:
+                self._keep(word, code)
+        self._learn(missing)
         known = self.words.__getitem__
-        first = [struct.pack(f"<{len(c.ids)}I", *c.ids)
+        first = [np.asarray(c.ids, dtype="<u4").tobytes()
                  for c in self.tokenizer.encode_batch_fast(starts, add_special_tokens=False)]
         return [a + b"".join(map(known, parts)) for a, parts in zip(first, split)]
 
