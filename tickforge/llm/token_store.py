@@ -20,6 +20,7 @@ the partition and a counter, so a repeated task writes the same files again.
 from __future__ import annotations
 
 import io
+import os
 import re
 import struct
 import uuid
@@ -41,9 +42,11 @@ CHUNK_BITS = 8
 SHARD_TOKENS = 2_000_000
 # The word cache turns over at this size (texts, ids and what a word costs besides);
 # two generations and the words of one group of texts are held.
-CACHE_BYTES = 96 << 20
+CACHE_BYTES = 128 << 20
 WORD_BYTES = 160
 JOINED = 1_000  # new words encoded at once
+# Fixed value: how the byte alphabet writes a space.
+SPACE_BYTE = "\u0120"
 GROUP = 100  # texts split into words at once
 END_ID = 0
 
@@ -63,12 +66,18 @@ class WordEncoder:
     #: A space before more white space: there the boundary is not certain.
     RUNS = re.compile(r" (?=\s)")
     BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+    #: White space beside a space, or another than a space, in joined words.
+    ODD = re.compile(r"[^\S ]| (?=\s)| \Z")
+    SPACE = re.compile(r"\s")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        # tokens that begin with the byte of a space
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.led = np.zeros(max(vocabulary.values(), default=0) + 1, bool)
+        self.led[[i for t, i in vocabulary.items() if t.startswith(SPACE_BYTE)]] = True
         # words of late, and those of the generation before
         self.words: dict[str, bytes] = {}
         self.before: dict[str, bytes] = {}
@@ -78,27 +87,27 @@ class WordEncoder:
         ids = self.tokenizer.encode(text, add_special_tokens=False).ids
         return np.asarray(ids, dtype="<u4").tobytes()
 
-    def _keep(self, word: str, code: bytes) -> None:
-        self.words[word] = code
-        self.held += 4 * len(word) + len(code) + WORD_BYTES
-
     def _learn(self, words: list[str]) -> None:
-        """Ids of new words: many at once as one text, cut where a word begins."""
-        plain = []
-        for word in words:
-            if not word or word[0].isspace() or any(s in word for s in self.special):
-                self._keep(word, self._alone(" " + word))
+        """Ids of new words: many at once as one text.  Each word's first token is the one
+        that begins with its space; words with white space of their own go alone."""
+        for k in range(0, len(words), JOINED):
+            part = words[k:k + JOINED]
+            text = " " + " ".join(part)
+            if self.ODD.search(text):
+                odd = [w for w in part if not w or self.SPACE.search(w)]
+                part = [w for w in part if w and not self.SPACE.search(w)]
+                text = " " + " ".join(part)
             else:
-                plain.append(word)
-        for k in range(0, len(plain), JOINED):
-            part = plain[k:k + JOINED]
-            found = self.tokenizer.encode(" " + " ".join(part), add_special_tokens=False)
-            ids = np.asarray(found.ids, dtype="<u4").tobytes()
-            starts = np.fromiter((o[0] for o in found.offsets), np.int64, len(found.offsets))
-            spaces = np.cumsum([0] + [len(w) + 1 for w in part])
-            cuts = (4 * np.searchsorted(starts, spaces)).tolist()
-            for word, a, b in zip(part, cuts, cuts[1:]):
-                self._keep(word, ids[a:b])
+                odd = []
+            ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4") if part else np.zeros(0, "<u4")
+            cuts = np.flatnonzero(self.led[ids]) * 4
+            if len(cuts) == len(part):
+                cuts, codes = [*cuts.tolist(), 4 * len(ids)], ids.tobytes()
+                self.words.update((w, codes[a:b]) for w, a, b in zip(part, cuts, cuts[1:]))
+            else:  # a special token took a space with it
+                odd = odd + part
+            self.words.update((w, self._alone(" " + w)) for w in odd)
+            self.held += 4 * len(text) + 4 * len(ids) + WORD_BYTES * len(part) + sum(8 * len(w) + WORD_BYTES for w in odd)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
@@ -112,7 +121,8 @@ class WordEncoder:
             if code is None:
                 missing.append(word)
             else:
-                self._keep(word, code)
+                self.words[word] = code
+                self.held += 4 * len(word) + len(code) + WORD_BYTES
         self._learn(missing)
         known = self.words.__getitem__
         first = [np.asarray(c.ids, dtype="<u4").tobytes()
@@ -125,6 +135,8 @@ _ENCODERS: dict[str, WordEncoder] = {}
 
 def encoder(path: str) -> WordEncoder:
     """This worker's encoder for a tokenizer file."""
+    # a task has one core; threads of the tokenizer would only wait for each other
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = WordEncoder(path)
     return _ENCODERS[path]
