@@ -66,9 +66,8 @@ class WordEncoder:
     #: A space before more white space: there the boundary is not certain.
     RUNS = re.compile(r" (?=\s)")
     BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
-    #: White space beside a space, or another than a space, in joined words.
-    ODD = re.compile(r"[^\S ]| (?=\s)| \Z")
-    SPACE = re.compile(r"\s")
+    #: White space beside a space, or at the end, in joined words.
+    ODD = re.compile(r" \s|\s |\s\Z")
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
@@ -89,13 +88,14 @@ class WordEncoder:
 
     def _learn(self, words: list[str]) -> None:
         """Ids of new words: many at once as one text.  Each word's first token is the one
-        that begins with its space; words with white space of their own go alone."""
+        that begins with its space; words with a space of their own, or with white space
+        at an end, go alone."""
         for k in range(0, len(words), JOINED):
             part = words[k:k + JOINED]
             text = " " + " ".join(part)
             if self.ODD.search(text):
-                odd = [w for w in part if not w or self.SPACE.search(w)]
-                part = [w for w in part if w and not self.SPACE.search(w)]
+                odd = [w for w in part if not w or " " in w or w[0].isspace() or w[-1].isspace()]
+                part = [w for w in part if w and not (" " in w or w[0].isspace() or w[-1].isspace())]
                 text = " " + " ".join(part)
             else:
                 odd = []
