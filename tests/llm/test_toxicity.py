@@ -56,3 +56,24 @@ def test_held_out_accuracy(spark):
     right = sum(r["predicted"] == r["toxic"] for r in rows) / len(rows)
     assert right >= 0.94 and auc >= 0.75
     assert sum(r["predicted"] for r in rows if r["toxic"] == 0) <= 0.01 * len(no)
+
+
+def test_sentences_equal_a_plain_search_and_take_linear_steps():
+    import random
+
+    from tickforge.llm.toxicity import Model
+    model, rnd = Model({"bad": 2.0, "evil": 1.0, "é": 0.5}, -1.0, 0.01), random.Random(1)
+    for _ in range(2_000):
+        text = "".join(rnd.choices(["bad", "evil", " ", ".", "!", "\n", "x", "é", "?", "İ", " "], k=rnd.randrange(0, 30)))
+        low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
+        want = set()
+        for word in ("bad", "evil", "é"):
+            for at in range(len(low)):
+                whole = low.startswith(word, at) and not (at and low[at - 1].isalnum()) and not low[at + len(word):at + len(word) + 1].isalnum()
+                if whole:
+                    start = max(low.rfind(c, 0, at) for c in ".!?\n") + 1
+                    end = min([x for c in ".!?\n" if (x := low.find(c, at)) >= 0], default=len(low))
+                    want.add((start, min(end + 1, len(low))))
+        assert [s[:2] for s in model.sentences(text)] == sorted(want)
+    # one mark in the whole text, and no mark but line breaks: every place is looked at once
+    assert len(model.sentences("this is bad\n" * 200_000)) == 200_000

@@ -36,6 +36,7 @@ MIN_GAIN = 12.0
 STEPS = 300
 
 _SENTENCE = re.compile(r"[^.!?\n]+[.!?]*|[.!?]+")
+_MARK = re.compile(r"[.!?\n]")
 _WORD = re.compile(r"[^\W_]+")
 
 
@@ -55,11 +56,12 @@ class Model:
             low = "".join(c if len(c.lower()) != 1 else c.lower() for c in text)
         # one pass finds the words with a weight; their sentences follow from the places
         hits = [(m.start(), weights[m[0]]) for m in _WORD.finditer(low) if m[0] in weights]
-        k = 0
+        # the marks that end sentences are walked once, beside the hits
+        marks = (m.start() for m in _MARK.finditer(low)) if hits else iter(())
+        k, start, end = 0, 0, next(marks, len(low))
         while k < len(hits):
-            at = hits[k][0]
-            start = max(low.rfind(c, 0, at) for c in ".!?\n") + 1
-            end = min((x for c in ".!?\n" if (x := low.find(c, at)) >= 0), default=len(low))
+            while end < hits[k][0]:
+                start, end = end + 1, next(marks, len(low))
             z = self.bias
             while k < len(hits) and hits[k][0] < end:
                 z += hits[k][1]
