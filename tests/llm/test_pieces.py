@@ -39,6 +39,38 @@ def test_n_best_equals_brute_force(model):
         assert all(model.decode(list(f)) == text for f in found)
 
 
+def test_together_as_one_by_one(model):
+    rnd = random.Random(11)
+    texts = ["", " ", "▁", "▁▁ a▁b", "a" * 3_000, "x" * 70 + " y", "日本語 テキスト\n\t x", "😀é" * 50] + [
+        "".join(rnd.choices("ab ▁é日\n1.e", k=rnd.randrange(0, 120))) for _ in range(300)]
+    for text, found in zip(texts, model.encode_all(texts, 4)):
+        ids, score, scores, changes = model.encode(text, 4)
+        assert found.ids.tolist() == ids.tolist() and found.exact
+        assert (found.score, found.scores, found.changes) == (score, scores, changes)
+        # each part by itself, character by character
+        alone = [model.best(w) for w in model.words(text)]
+        assert [i for a in alone for i in a[0]] == ids.tolist()
+        assert score == pytest.approx(sum(a[1] for a in alone))
+
+
+def test_alternatives_come_back(spark, make_docs, some_docs, model):
+    rows = some_docs[:40] + ODD
+    encoded = P.encode(make_docs(rows), n=5)
+    every = P.segmentations(encoded).collect()
+    scores = {i: s for i, s in model.table.values()}
+    assert len(every) > 3 * len(some_docs[:40])
+    odd = {d for d, _ in ODD}  # some repeat an id
+    texts = {d: t for d, t in some_docs[:40] if d not in odd}
+    assert len(texts) > 20
+    for r in every:
+        if r["doc_id"] in texts and all(i in scores for i in r["ids"]):
+            assert model.decode(r["ids"]) == texts[r["doc_id"]]
+            assert r["score"] == pytest.approx(sum(scores[i] for i in r["ids"]))
+    for doc_id in texts:
+        mine = [tuple(r["ids"]) for r in every if r["doc_id"] == doc_id]
+        assert len(set(mine)) == len(mine)
+
+
 def test_long_ties_end(model):
     ids, score, scores, _ = model.encode("a" * 5_000, 4)
     assert len(scores) == 4 and scores == sorted(scores, reverse=True)

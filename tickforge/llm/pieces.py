@@ -8,10 +8,18 @@ ranked by its own score plus the forward score of the position it has reached,
 which is exact, so paths leave the queue best first.
 
 No usable piece has ``▁`` after its first character (the model's runs of
-``▁`` have a score of minus a billion and are left out), so the lattice is a
-chain of word lattices.  A text's N best are therefore found from its words:
-only the N - 1 words that lose least by their second-best path can appear
-changed, and the same A-star search runs over the chain of these.
+``▁`` have a score of minus a billion and are left out), and no piece holds two
+characters side by side that are side by side in none: every path stops at such
+places, so the lattice is a chain of part lattices.  A text's N best are
+therefore found from its parts: only the N - 1 parts that lose least by their
+second-best path can appear changed, and the same A-star search runs over the
+chain of these.
+
+The texts of an Arrow batch are cut together; each different part is solved
+once, the parts of up to ``LONG_PART`` characters side by side (one array step per
+place and piece length), longer ones one by one; the ids are then put together by
+array takes.  Nothing but the alternatives of changed parts is kept between
+batches, so a worker's memory goes with its batch.
 
 Unknown characters, and ``▁`` itself, become their UTF-8 bytes as byte pieces,
 each with the score ``lowest - UNKNOWN_PENALTY``; decoding gives the text back exactly.
@@ -20,9 +28,9 @@ each with the score ``lowest - UNKNOWN_PENALTY``; decoding gives the text back e
 from __future__ import annotations
 
 import heapq
-import struct
 import zlib
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -33,24 +41,47 @@ from tickforge.llm.common import bound_batches, read_table, rows_of, text_of
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
-CACHE_WORDS = 300_000
 _NO = object()
 N_BEST = 4
 UNUSABLE = -1e8
+# Texts are worked on together up to this many characters; a longer one is alone.
+GROUP_CHARS = 2 << 20
+LONG_PART = 64
+# Parts solved side by side, and the characters of the parts whose alternatives are kept.
+SIDE_BY_SIDE = 1 << 15
+KEPT_CHARS = 4 << 20
 
 
-class _Cache(dict):
-    """Results by word, made when first asked for; bounded."""
+class Solved(NamedTuple):
+    """Best paths of parts: their ids one after the other, how many each has, the
+    scores, and what each part's second-best path loses (infinity if it has one path)."""
 
-    def __init__(self, make):
-        super().__init__()
-        self.make = make
+    ids: np.ndarray
+    count: np.ndarray
+    score: np.ndarray
+    loss: np.ndarray
 
-    def __missing__(self, word: str):
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        found = self[word] = self.make(word)
-        return found
+
+class Encoded(NamedTuple):
+    """A text's best ids, their score, the N best scores, for each of these the changes
+    (start, n, ids) to the best ids, and whether all of them decode to the text."""
+
+    ids: np.ndarray
+    score: float
+    scores: list[float]
+    changes: list[list[tuple[int, int, tuple[int, ...]]]]
+    exact: bool
+
+
+def starts_of(lengths: np.ndarray) -> np.ndarray:
+    """Where each of consecutive runs starts, and the end of the last one."""
+    return np.concatenate([np.zeros(1, dtype=np.int64), np.cumsum(lengths, dtype=np.int64)])
+
+
+def take_runs(pool: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The runs of ``pool`` of the given starts and lengths, one after the other."""
+    at = starts_of(lengths)
+    return pool[np.repeat(first - at[:-1], lengths) + np.arange(at[-1])]
 
 
 class Pieces:
@@ -85,19 +116,53 @@ class Pieces:
                 self.begins.setdefault(piece[:k])
                 self.pairs.add(piece[k - 1:k + 1])
         self.begins.update(self.table)
-        self.cache = _Cache(self._word)
-        self.segments = _Cache(self.best)
-        self.others: dict[str, list[tuple[float, tuple[int, ...]]]] = {}
+        texts = [self.text_of.get(i, b"") for i in range(model.vocab_size())]
+        self.bytes_at = starts_of(np.array([len(t) for t in texts]))
+        self.bytes = np.frombuffer(b"".join(texts), dtype="u1")
+        self._arrays()
+        self.others: dict[str, tuple[list[tuple[float, tuple[int, ...]]], bool]] = {}
+        self.others_chars = 0
+
+    def _arrays(self) -> None:
+        """The pairs and the pieces as arrays over classes of characters: 0 is every
+        character that is in no pair; the escaped space has the class of ``▁``."""
+        chars = sorted({c for pair in self.pairs for c in pair})
+        number = {c: k for k, c in enumerate(chars, 1)}
+        self.class_of = np.zeros(0x110000, dtype=np.int16)
+        for c, k in number.items():
+            self.class_of[ord(c)] = k
+        self.class_of[ord(" ")] = number.get(SPACE, 0)
+        self.class_of[ord(SPACE)] = 0
+        self.joined = np.zeros((len(chars) + 1, len(chars) + 1), dtype=bool)
+        for x, y in self.pairs:
+            self.joined[number[x], number[y]] = True
+        # classes whose character is a piece: others need bytes
+        self.whole = np.array([False] + [c in self.table for c in chars])
+        known = [b for b in self.begins if b[0] in number]
+        longer = sorted({b[:-1] for b in known if len(b) > 1}, key=len)
+        at = {"": 0, **{b: k for k, b in enumerate(longer, 1)}}
+        self.inner = len(at)
+        for b in known:
+            at.setdefault(b, len(at))
+        self.step = np.full((self.inner, len(chars) + 1), -1, dtype=np.int32)
+        self.piece = np.zeros(len(at), dtype=np.int32)
+        self.gain = np.full(len(at), -np.inf)
+        for b in known:
+            self.step[at[b[:-1]], number[b[-1]]] = at[b]
+            if self.begins[b] is not None:
+                self.piece[at[b]], self.gain[at[b]] = self.begins[b]
 
     def edges(self, word: str) -> list[list[tuple[int, tuple[int, ...], float]]]:
-        """For each end position, the (start, ids, score) that reach it."""
+        """For each end position, the (start, ids, score) that reach it; a space at
+        the start of ``word`` is an escaped one, a ``▁`` is that character."""
         begins, n = self.begins, len(word)
+        marked = SPACE + word[1:] if word[:1] == " " else word
         into: list[list[tuple[int, tuple[int, ...], float]]] = [[] for _ in range(n + 1)]
         for start in range(n):
             single = False
-            if not (start and word[start] == SPACE):
+            if word[start] != SPACE:
                 for end in range(start + 1, n + 1):
-                    found = begins.get(word[start:end], _NO)
+                    found = begins.get(marked[start:end], _NO)
                     if found is _NO:
                         break
                     if found is not None:
@@ -108,17 +173,6 @@ class Pieces:
                 into[start + 1].append((start, tuple([self.byte_id[b] for b in raw]), self.low * len(raw)))
         return into
 
-    def cuts(self, word: str) -> list[str]:
-        """``word`` cut wherever no piece holds the two characters around the place:
-        every path stops there, so the parts are lattices of their own."""
-        pairs, out, start = self.pairs, [], 0
-        for k in range(1, len(word)):
-            if word[k - 1:k + 1] not in pairs:
-                out.append(word[start:k])
-                start = k
-        out.append(word[start:])
-        return out
-
     @staticmethod
     def forward(into: list) -> list[float]:
         """Best score from the start to each position."""
@@ -127,8 +181,8 @@ class Pieces:
             best.append(max([best[start] + score for start, _, score in here]))
         return best
 
-    def best(self, word: str) -> tuple[bytes, int, float, float]:
-        """Best ids (little-endian uint32), how many, score, and what the second-best path loses."""
+    def best(self, word: str) -> tuple[list[int], float, float]:
+        """Best ids, their score, and what the second-best path loses."""
         into = self.edges(word)
         best = self.forward(into)
         n = len(word)
@@ -155,72 +209,200 @@ class Pieces:
             if chosen:
                 path.append(step)
                 on = back
-        ids = [i for step in reversed(path) for i in step]
-        return struct.pack(f"<{len(ids)}I", *ids), len(ids), top, top - second
+        return [i for step in reversed(path) for i in step], top, top - second
+
+    def solve(self, classes: np.ndarray, first: np.ndarray, lengths: np.ndarray) -> Solved:
+        """``best`` of many parts side by side: part k is ``lengths[k]`` classes from
+        ``first[k]`` on, all of them pieces by themselves."""
+        order = np.argsort(-lengths, kind="stable")  # the parts that reach a place come first
+        first, size = first[order], lengths[order]
+        n, top = len(size), int(size[0])
+        each = np.arange(n)
+        reach = np.searchsorted(-size, -np.arange(top + 1), side="right")  # parts of at least so many
+        cells = np.zeros((top, n), dtype=np.int16)
+        for p in range(top):
+            cells[p, :reach[p + 1]] = classes[first[:reach[p + 1]] + p]
+        best = np.full((top + 1, n), -np.inf)
+        best[0] = 0.0
+        back = np.zeros((top + 1, n), dtype=np.int16)
+        by = np.zeros((top + 1, n), dtype=np.int32)
+        hits: list[tuple[int, int, np.ndarray, np.ndarray]] = []
+        for p in range(top):
+            rows, state = each[:reach[p + 1]], np.zeros(reach[p + 1], dtype=np.int32)
+            for end in range(p + 1, top + 1):
+                some = np.searchsorted(rows, reach[end])
+                rows, state = rows[:some], self.step[state[:some], cells[end - 1, rows[:some]]]
+                ok = state >= 0
+                rows, state = rows[ok], state[ok]
+                if not len(rows):
+                    break
+                gain = self.gain[state]
+                hit = gain > -np.inf
+                here, gain, node = rows[hit], gain[hit], state[hit]
+                hits.append((p, end, here, gain))
+                value = best[p, here] + gain
+                better = value > best[end, here]
+                here = here[better]
+                best[end, here], back[end, here], by[end, here] = value[better], end - p, self.piece[node[better]]
+                more = state < self.inner
+                rows, state = rows[more], state[more]
+        # the best paths: the end of the step from each place, and its id
+        on, ids = np.zeros((top, n), dtype=np.int16), np.zeros((top, n), dtype=np.int32)
+        rows, at = each, size.copy()
+        while len(rows):
+            start = at - back[at, rows]
+            on[start, rows], ids[start, rows] = at, by[at, rows]
+            rows, at = rows[start > 0], start[start > 0]
+        # what the best path that leaves them reaches, from the end backwards
+        rest, second = np.full((top + 1, n), -np.inf), np.full(n, -np.inf)
+        rest[size, each] = 0.0
+        for p, end, here, gain in reversed(hits):
+            after = rest[end, here]
+            rest[p, here] = np.maximum(rest[p, here], after + gain)
+            other = on[p, here] != end
+            here = here[other]
+            second[here] = np.maximum(second[here], best[p, here] + gain[other] + after[other])
+        score = best[size, each]
+        # back to the order given
+        place = np.argsort(order, kind="stable")
+        taken = (on > 0).T[place]
+        return Solved(ids.T[place][taken], taken.sum(axis=1), score[place], (score - second)[place])
+
+    def parts(self, joined: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Classes of the characters of ``joined``, their places in its UTF-8, and where the parts start."""
+        codes = np.frombuffer(joined.encode("utf-32-le", "surrogatepass"), dtype="<u4")
+        classes = self.class_of[codes]
+        width = 1 + (codes >= 0x80).astype("i1") + (codes >= 0x800) + (codes >= 0x10000)
+        starts = np.flatnonzero(~self.joined[classes[:-1], classes[1:]]) + 1
+        return classes, starts_of(width), np.concatenate([[0], starts, [len(codes)]])
+
+    def solve_parts(self, joined: str, classes: np.ndarray, first: np.ndarray, size: np.ndarray) -> Solved:
+        """Best paths of different parts, the short ones of whole characters side by side."""
+        strange = starts_of(~self.whole[classes])
+        plain = (size <= LONG_PART) & (strange[first + size] == strange[first])
+        made, order = [], []
+        sides = np.flatnonzero(plain)
+        sides = sides[np.argsort(size[sides], kind="stable")]  # parts of like length together
+        for k in range(0, len(sides), SIDE_BY_SIDE):
+            some = sides[k:k + SIDE_BY_SIDE]
+            made.append(self.solve(classes, first[some], size[some]))
+            order.append(some)
+        single = np.flatnonzero(~plain)
+        if len(single):
+            found = [self.best(joined[a:a + n]) for a, n in zip(first[single].tolist(), size[single].tolist())]
+            made.append(Solved(np.array([i for f in found for i in f[0]], dtype=np.int32), np.array([len(f[0]) for f in found]),
+                               np.array([f[1] for f in found]), np.array([f[2] for f in found])))
+            order.append(single)
+        back = np.argsort(np.concatenate(order), kind="stable")
+        ids, count, score, loss = (np.concatenate(x) for x in zip(*made))
+        return Solved(take_runs(ids, starts_of(count)[:-1][back], count[back]), count[back], score[back], loss[back])
 
     def alternatives(self, word: str, n: int) -> list[tuple[float, tuple[int, ...]]]:
-        """The ``n`` best (score, ids) of a word by backward A-star, best first."""
+        """The ``n`` best (score, ids) of a part by backward A-star, best first; of equal
+        ones that of ``best`` is the first."""
         into = self.edges(word)
-        return list(a_star(into, self.forward(into), n))
+        found = list(a_star(into, self.forward(into), n))
+        best = tuple(self.best(word)[0])
+        return [(found[0][0], best), *[f for f in found if f[1] != best][:n - 1]]
+
+    def _others(self, word: str, n: int) -> tuple[list[tuple[float, tuple[int, ...]]], bool]:
+        """``alternatives``, and whether each decodes to the part; kept, bounded by characters."""
+        found = self.others.get(word)
+        if found is None or len(found[0]) < n:
+            paths = self.alternatives(word, n)
+            found = paths, all(b"".join([self.text_of[i] for i in ids]) == word.encode("utf-8", "surrogatepass") for _, ids in paths)
+            if self.others_chars > KEPT_CHARS:
+                self.others, self.others_chars = {}, 0
+            self.others[word] = found
+            self.others_chars += len(word)
+        return found
+
+    def decode_array(self, ids: np.ndarray) -> np.ndarray:
+        """The bytes of ids, with the leading space of every text."""
+        return take_runs(self.bytes, self.bytes_at[ids], self.bytes_at[ids + 1] - self.bytes_at[ids])
 
     def decode(self, ids: list[int]) -> str:
         """The text of a path; the leading space that encoding added is removed."""
-        raw = b"".join([self.text_of[i] for i in ids])
-        return raw[1:].decode("utf-8", "surrogatepass")
+        return self.decode_array(np.asarray(ids, dtype=np.int64)).tobytes()[1:].decode("utf-8", "surrogatepass")
 
     def words(self, text: str) -> list[str]:
-        """The chain of word lattices; a literal ``▁`` is part of a word and
-        unlike an escaped space (it is written as bytes)."""
-        return [SPACE + w for w in text.split(" ")]
-
-    def _word(self, word: str) -> tuple[bytes, int, float, float]:
-        """``best`` of a space-led word, put together from its parts."""
-        if SPACE in word:  # a literal mark must not begin a part
-            return self.best(SPACE + word)
-        parts = [self.segments[x] for x in self.cuts(SPACE + word)]
-        if len(parts) == 1:
-            return parts[0]
-        return (b"".join([p[0] for p in parts]), sum([p[1] for p in parts]),
-                sum([p[2] for p in parts]), min([p[3] for p in parts]))
-
-    def encode(self, text: str, n: int = N_BEST) -> tuple[bytes, float, list[float], list[list]]:
-        """Best ids (little-endian uint32), its score, the ``n`` best scores, and for each of
-        these the changed words as (word index, rank of its path)."""
-        words = text.split(" ")
-        found = list(map(self.cache.__getitem__, words))
-        ids = b"".join([f[0] for f in found])
-        total = sum([f[2] for f in found])
-        if n < 2:
-            return ids, total, [total], [[]]
-        loss = np.array([f[3] for f in found])
-        least = np.argpartition(loss, n - 2)[:n - 1] if len(loss) >= n else np.arange(len(loss))
-        least = sorted(k for k in least.tolist() if loss[k] < float("inf"))
-        # chain of the words that may change: position k -> k + 1 by each alternative
+        """The chain of word lattices, each led by its escaped space."""
+        return [" " + w for w in text.split(" ")]
+
+    def encode_all(self, texts: list[str], n: int = N_BEST) -> Iterator[Encoded]:
+        """Every text encoded, those of up to ``GROUP_CHARS`` characters together."""
+        group: list[str] = []
+        chars = 0
+        for text in texts:
+            if group and chars + len(text) > GROUP_CHARS:
+                yield from self._group(group, n)
+                group, chars = [], 0
+            group.append(text)
+            chars += len(text) + 1
+        if group:
+            yield from self._group(group, n)
+
+    def _group(self, texts: list[str], n: int) -> Iterator[Encoded]:
+        joined = " " + " ".join(texts)  # every text with its leading space
+        raw = np.frombuffer(joined.encode("utf-8", "surrogatepass"), dtype="u1")
+        classes, byte_at, starts = self.parts(joined)
+        names = pa.Array.from_buffers(pa.large_binary(), len(starts) - 1, [
+            None, pa.py_buffer(byte_at[starts].astype(np.int64)), pa.py_buffer(raw)]).dictionary_encode()
+        which = names.indices.to_numpy()
+        # parts are numbered as they first appear
+        new = np.flatnonzero(np.diff(np.maximum.accumulate(which), prepend=-1))
+        first, size = starts[new], starts[new + 1] - starts[new]
+        solved = self.solve_parts(joined, classes, first, size)
+        count = solved.count[which]
+        ids = take_runs(solved.ids, starts_of(solved.count)[:-1][which], count)
+        id_at = starts_of(count)
+        score, loss = solved.score[which], solved.loss[which]
+        # a text's first and last part, and the bytes of its ids
+        text_at = starts_of(np.array([len(t) + 1 for t in texts]))
+        part_at = np.searchsorted(starts, text_at)
+        back = self.decode_array(ids)
+        back_at = starts_of(self.bytes_at[ids + 1] - self.bytes_at[ids])
+        total = np.add.reduceat(score, part_at[:-1])
+        for k in range(len(texts)):
+            a, b = part_at[k], part_at[k + 1]
+            x, y = byte_at[text_at[k]], byte_at[text_at[k + 1]]
+            exact = np.array_equal(back[back_at[id_at[a]]:back_at[id_at[b]]], raw[x:y])
+            scores, changes = [float(total[k])], [[]]
+            if n > 1:
+                least = loss[a:b]
+                least = np.argpartition(least, n - 2)[:n - 1] if b - a >= n else np.arange(b - a)
+                least = sorted(j for j in (least + a).tolist() if loss[j] < np.inf)
+                paths = []
+                for j in least:
+                    found, good = self._others(joined[starts[j]:starts[j + 1]], n)
+                    paths.append(found[:n])
+                    exact = exact and good
+                scores, changes = self._chain(scores[0], paths, n)
+                changes = [[(int(id_at[least[j]] - id_at[a]), int(count[least[j]]), paths[j][r][1]) for j, r in path] for path in changes]
+            yield Encoded(ids[id_at[a]:id_at[b]], float(total[k]), scores, changes, bool(exact))
+
+    def _chain(self, total: float, paths: list, n: int) -> tuple[list[float], list[list[tuple[int, int]]]]:
+        """The ``n`` best scores over the chain of parts that may change, and the (part,
+        rank) that each changes, by the same search."""
         into: list[list[tuple[int, tuple, float]]] = [[]]
-        base = total
-        for step, k in enumerate(least):
-            word = SPACE + words[k]
-            if len(self.others) > CACHE_WORDS:
-                self.others = {}
-            paths = self.others.get(word)
-            if paths is None or len(paths) < n:
-                paths = self.others[word] = self.alternatives(word, n)
-            base -= paths[0][0]
-            into.append([(step, ((k, rank),), score) for rank, (score, _) in enumerate(paths)])
+        for j, found in enumerate(paths):
+            into.append([(j, ((j, rank),), score) for rank, (score, _) in enumerate(found)])
+        base = total - sum([found[0][0] for found in paths])
         chain = list(a_star(into, self.forward(into), n))
-        return (ids, total, [base + s for s, _ in chain],
-                [[(k, r) for k, r in path if r] for _, path in chain])
+        return [base + s for s, _ in chain], [sorted((j, r) for j, r in path if r) for _, path in chain]
 
-    def segmentation(self, text: str, changed: list[tuple[int, int]]) -> list[int]:
-        """The ids of one of the N best, from its changed words."""
-        words, swap = self.words(text), dict(changed)
-        out: list[int] = []
-        for k, word in enumerate(words):
-            if k in swap:
-                out += self.others.get(word, self.alternatives(word, swap[k] + 1))[swap[k]][1]
-            else:
-                out += np.frombuffer(self.best(word)[0], dtype="<u4").tolist()
-        return out
+    def encode(self, text: str, n: int = N_BEST) -> tuple[np.ndarray, float, list[float], list[list]]:
+        """One text by itself: its best ids, their score, the N best scores and their changes."""
+        return next(self.encode_all([text], n))[:4]
+
+    def segmentation(self, text: str, changes: list[tuple[int, int, tuple[int, ...]]]) -> list[int]:
+        """The ids of one of the N best, from its changes to the best ids."""
+        best = self.encode(text, 1)[0].tolist()
+        out, at = [], 0
+        for start, n, other in changes:
+            out += [*best[at:start], *other]
+            at = start + n
+        return out + best[at:]
 
 
 def a_star(into: list, best: list[float], n: int) -> Iterator[tuple[float, tuple]]:
@@ -264,19 +446,24 @@ def default_model() -> str:
     return public_tokenizers.path("piece_bpe_32k.model")
 
 
+_CHANGE = pa.struct([("start", pa.int32()), ("n", pa.int32()), ("ids", pa.list_(pa.int32()))])
 _OUT = pa.schema([("doc_id", pa.int64()), ("ids", pa.list_(pa.int32())), ("n_pieces", pa.int64()),
                   ("score", pa.float64()), ("nbest_scores", pa.list_(pa.float64())),
-                  ("ids_crc32", pa.int64()), ("exact", pa.bool_())])
+                  ("nbest_changes", pa.list_(pa.list_(_CHANGE))), ("ids_crc32", pa.int64()), ("exact", pa.bool_())])
 
 
 def encode(docs: DataFrame, path: str | None = None, n: int = N_BEST, keep_ids: bool = True) -> DataFrame:
     """Encode every whole text: ``doc_id, ids, n_pieces, score, nbest_scores,
-    ids_crc32, exact``.
+    nbest_changes, ids_crc32, exact``.
 
     ``ids`` is the best segmentation (null when ``keep_ids`` is false),
     ``nbest_scores`` the scores of the ``n`` best in falling order (fewer if the
-    lattice has fewer paths; ties stay as found), ``exact`` whether decoding the
-    ids gave the text back.  Null and empty texts are one ``▁``.  Repeated rows
+    lattice has fewer paths; ties stay as found), ``nbest_changes`` for each of
+    them what it changes in ``ids``: ``n`` ids from place ``start`` on become
+    others (``segmentations`` puts them together), ``exact`` whether decoding
+    gave the text back, by the best ids and by every change.  Null and empty texts
+    are one ``▁``.  A very long text is worked on alone, at some 100 bytes of memory a
+    character; one without places to cut is one part, searched by itself.  Repeated rows
     give repeated results, a null doc_id stays null, an empty table gives no
     rows, and extra columns are not read.
     """
@@ -286,13 +473,12 @@ def encode(docs: DataFrame, path: str | None = None, n: int = N_BEST, keep_ids:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = model(path)
         for batch in batches:
+            doc_ids, texts = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("doc_id", "text"))
             out: list[list] = [[] for _ in _OUT]
-            for doc_id, text in rows_of(batch, "doc_id", "text"):
-                raw, score, scores, _ = pieces.encode(text, n)
-                ids = np.frombuffer(raw, dtype="<u4")
-                exact = pieces.decode(ids.tolist()) == text
-                row = (doc_id, ids.astype(np.int32) if keep_ids else None, len(ids), score, scores,
-                       zlib.crc32(raw), exact)
+            for doc_id, (ids, score, scores, changes, exact) in zip(doc_ids, pieces.encode_all(texts, n)):
+                changes = [[{"start": a, "n": k, "ids": other} for a, k, other in some] for some in changes]
+                row = (doc_id, ids if keep_ids else None, len(ids), score, scores, changes,
+                       zlib.crc32(ids.astype("<u4").tobytes()), exact)
                 for column, value in zip(out, row):
                     column.append(value)
             yield pa.RecordBatch.from_arrays(
@@ -300,7 +486,17 @@ def encode(docs: DataFrame, path: str | None = None, n: int = N_BEST, keep_ids:
 
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_of().alias("text")).mapInArrow(
         run, "doc_id long, ids array<int>, n_pieces long, score double, nbest_scores array<double>, "
-             "ids_crc32 long, exact boolean")
+             "nbest_changes array<array<struct<start: int, n: int, ids: array<int>>>>, ids_crc32 long, exact boolean")
+
+
+def segmentations(encoded: DataFrame) -> DataFrame:
+    """``doc_id, rank, score, ids``: a row for each of the N best of every encoded text, the
+    best with rank 0.  Rows whose ids are null give null ids."""
+    each = encoded.select("doc_id", F.col("ids").alias("best"), "nbest_scores", F.posexplode("nbest_changes").alias("rank", "changes"))
+    return each.select("doc_id", "rank", F.expr("nbest_scores[rank]").alias("score"), F.expr("""aggregate(changes,
+        struct(cast(array() as array<int>) as ids, 0 as at),
+        (s, c) -> struct(concat(s.ids, slice(best, s.at + 1, c.start - s.at), c.ids) as ids, c.start + c.n as at),
+        s -> concat(s.ids, slice(best, s.at + 1, size(best) - s.at)))""").alias("ids"))
 
 
 def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
@@ -319,5 +515,5 @@ def decode(encoded: DataFrame, path: str | None = None) -> DataFrame:
 
 
 def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Query 2 over ``documents``: piece counts, scores and the N-best scores."""
+    """Query 2 over ``documents``: piece counts, scores and the N-best scores and changes."""
     return encode(read_table(spark, sf_dir, "documents"), keep_ids=False).drop("ids")
