@@ -107,3 +107,12 @@ def test_the_map_bound_is_never_below_the_overlap():
             x, y = (np.unique(np.concatenate([both, rnd.integers(0, 1 << 32, k - len(both), dtype=np.uint32)])) for k in (n, m))
             shared = len(np.intersect1d(x, y))
             assert shared <= N.most_shared(len(x), len(y), N.bit_map(x), N.bit_map(y)) <= min(len(x), len(y))
+
+
+def test_columns_that_agree_in_32_bits_are_two():
+    cols = np.array([5 << 32 | 1, 5 << 32 | 2, 5 << 32 | 3, 9 << 32], dtype="<u8")
+    assert N.exact_shared(4, 3, cols.tobytes(), cols[1:].tobytes()) == 3
+    assert N.most_shared(4, 3, N.bit_map(cols), N.bit_map(cols[1:])) >= 3
+    _, n, cols = N.shingle_set(" ".join(f"w{i}" for i in range(300_000)))
+    assert n == len(cols) == 299_996  # about ten of these pairs agree in 32 bits
+    assert len(np.unique(cols >> np.uint64(32))) < n

@@ -14,8 +14,8 @@ bounds the overlap from above and discards most pairs.  The remaining blocks
 are accumulated for the others, as the exact overlap of the two rows.
 
 Documents with the same word sequence are one row.  Rows are kept as sorted
-32-bit shingle hashes (sizes come from 64-bit ones); an overlap can only be
-overstated by a collision of two shingles within one pair, about n * m / 2**32.
+64-bit shingle hashes, from which sizes, columns and overlaps all come: they are
+exact unless two of the shingles of one pair collide, about n * m / 2**64.
 Within a column, members meet a pivot first and only then each other across
 groups (``linking``), so a family of near copies costs linear work.
 """
@@ -45,10 +45,10 @@ _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 def shingle_set(text: str) -> tuple[int, int, np.ndarray]:
     """``(id, n, set)``: hash of the word sequence, distinct shingles, and their
-    sorted distinct 32-bit hashes; an empty sequence has n = 0."""
+    sorted distinct 64-bit hashes; an empty sequence has n = 0."""
     words = text.encode("utf-8", "surrogatepass").lower().split()
     if not words:
-        return 0, 0, np.zeros(0, dtype="<u4")
+        return 0, 0, np.zeros(0, dtype="<u8")
     key = xxhash.xxh64_intdigest(b" ".join(words), 11) - (1 << 63)
     w = np.asarray([xxhash.xxh64_intdigest(x) for x in words], dtype=np.uint64)
     size = min(SHINGLE, len(w))
@@ -57,14 +57,14 @@ def shingle_set(text: str) -> tuple[int, int, np.ndarray]:
         h = (h ^ w[j:len(w) - size + 1 + j]) * _MIX
         h ^= h >> np.uint64(29)
     h = np.unique(h)
-    return key, len(h), np.unique((h >> np.uint64(32)).astype("<u4"))
+    return key, len(h), h.astype("<u8", copy=False)
 
 
 def bit_map(cols: np.ndarray) -> bytes:
-    """The map of sorted 32-bit columns: the leading bits of each say which bit is set."""
+    """The map of sorted columns: the leading bits of each say which bit is set."""
     width = max(3, int(MAP_BITS * len(cols) - 1).bit_length())
     bits = np.zeros(1 << width, dtype=bool)
-    bits[cols >> np.uint32(32 - width)] = True
+    bits[cols >> cols.dtype.type(8 * cols.itemsize - width)] = True
     return np.packbits(bits).tobytes()
 
 
@@ -78,7 +78,7 @@ def most_shared(n: int, m: int, one: bytes, two: bytes) -> int:
 
 def shingle_sets(docs: DataFrame) -> DataFrame:
     """``rid, doc_id, id, n, cols, bits`` from ``rid, doc_id, text``; ``cols`` (the
-    sorted 32-bit hashes as bytes) and ``bits`` (their map) are null where an
+    sorted 64-bit hashes as bytes) and ``bits`` (their map) are null where an
     earlier row of the same batch has the same sequence."""
     bound_batches(docs.sparkSession)
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int64()),
@@ -114,7 +114,7 @@ def column_ranks(sets: DataFrame) -> np.ndarray:
         for batch in batches:
             for (cols,) in rows_of(batch, "cols"):
                 # a row's columns are sorted: equal counters stand together
-                at, n = np.unique(np.frombuffer(cols, dtype="<u4") >> np.uint32(32 - COUNTER_BITS), return_counts=True)
+                at, n = np.unique(np.frombuffer(cols, dtype="<u8") >> np.uint64(64 - COUNTER_BITS), return_counts=True)
                 total[at] += n
         each = np.minimum(total, 255).astype("u1").reshape(-1, _BLOCK)
         yield send({int(k): each[k].tobytes() for k in np.flatnonzero(each.any(axis=1))})
@@ -145,14 +145,14 @@ def first_block(sets: DataFrame, ranks: np.ndarray) -> DataFrame:
         for batch in batches:
             parts, ids, sizes = [], [], []
             for key, n, cols in rows_of(batch, "id", "n", "cols"):
-                own = np.frombuffer(cols, dtype="<u4")
-                by_rank = np.argsort(order[own >> np.uint32(32 - COUNTER_BITS)], kind="stable")
+                own = np.frombuffer(cols, dtype="<u8")
+                by_rank = np.argsort(order[own >> np.uint64(64 - COUNTER_BITS)], kind="stable")
                 parts.append(own[by_rank[:n // 4 + 1]])
                 ids.append(key)
                 sizes.append(n)
             lengths = [len(p) for p in parts]
             yield pa.RecordBatch.from_arrays([
-                pa.array(np.concatenate(parts or [np.zeros(0, "u4")]).astype(np.int64)),
+                pa.array(np.concatenate(parts or [np.zeros(0, "u8")]).view(np.int64)),
                 pa.array(np.repeat(np.asarray(ids, dtype=np.int64), lengths)),
                 pa.array(np.repeat(np.asarray(sizes, dtype=np.int64), lengths)),
                 pa.array(np.concatenate([np.arange(k, dtype=np.int32) for k in lengths] or [np.zeros(0, "i4")]))], schema=schema)
@@ -199,7 +199,7 @@ def kept_pairs(pairs: DataFrame, rows: DataFrame, column: str, shared: Callable[
 
 
 def exact_shared(n: int, m: int, one: bytes, two: bytes) -> int:
-    return len(np.intersect1d(np.frombuffer(one, "<u4"), np.frombuffer(two, "<u4"), assume_unique=True))
+    return len(np.intersect1d(np.frombuffer(one, "<u8"), np.frombuffer(two, "<u8"), assume_unique=True))
 
 
 def overlap_check(sets: DataFrame):
