@@ -63,23 +63,26 @@ def link_buckets(members: DataFrame, near: Callable[[str, str], Column], check:
     copies that is the text closest to all others.
     """
     weight = members.groupBy("id").agg(F.count(F.lit(1)).alias("weight"))
-    rows = cut(members.join(weight, "id").withColumn("comp", F.col("id")), "bucket-members")
+    rows = cut(members.join(weight, "id"), "bucket-members")
     carried = [c for c in members.columns if c not in ("bucket", "id")]
     links: list[DataFrame] = []
     for _ in range(rounds):
-        pivots = cut(rows.groupBy("bucket").agg(F.min(F.struct(
-            (-F.col("weight")).alias("w"), "id", *carried)).alias("p")).select("bucket", "p.id", *[f"p.{c}" for c in carried]), "pivots")
-        pairs = (rows.alias("x").join(pivots.alias("y"), "bucket").filter(F.col("x.id") != F.col("y.id"))
-                 .filter(near("x", "y"))
-                 .select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct())
+        mixed = [F.min("comp").alias("low"), F.max("comp").alias("high")] if links else []
+        pivots = rows.groupBy("bucket").agg(F.min(F.struct((-F.col("weight")).alias("w"), "id", *carried)).alias("y"), *mixed)
+        if links:  # at first all members are groups of their own
+            pivots = cut(pivots.filter("low <> high").select("bucket", "y"), "pivots")
+            if pivots.isEmpty():
+                return _union(links)
+        # the pivot meets every member and leaves the bucket
+        met = cut(rows.join(pivots, "bucket").filter("id <> y.id").select("bucket", F.struct("id", *carried).alias("x"), "y", "weight"), "bucket-met")
+        pairs = met.filter(near("x", "y")).select(F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b")).distinct()
         links.append(cut(check(pairs), "links"))
-        # the pivot has met every member: it leaves the bucket
-        rest = rows.join(pivots.select("bucket", F.col("id").alias("pivot")), "bucket").filter("id <> pivot").drop("pivot", "comp")
         groups = components(_union(links))
-        rest = rest.join(groups, "id", "left").withColumn("comp", F.coalesce("comp", "id"))
-        rows = cut(open_buckets(cut(rest, "bucket-rest")), "bucket-members")
-        if rows.isEmpty():
-            return _union(links)
+        rest = met.select("bucket", "x.*", "weight").join(groups, "id", "left")
+        rows = cut(rest.withColumn("comp", F.coalesce("comp", "id")), "bucket-members")
+    rows = cut(open_buckets(rows), "bucket-members")
+    if rows.isEmpty():
+        return _union(links)
     # the largest group of a bucket is never paired with itself
     size = rows.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("n"))
     main = cut(size.groupBy("bucket").agg(F.max(F.struct("n", "comp")).alias("m")).select("bucket", F.col("m.comp").alias("main")), "bucket-main")
