@@ -32,6 +32,7 @@ from pyspark.sql import functions as F
 
 from tickforge.llm.common import bound_batches, cut, read_table, rows_of, with_row_key
 from tickforge.llm.linking import components, link_buckets
+from tickforge.plans.joins import join_small
 
 SHINGLE = 5
 PER_CENT = 75
@@ -206,11 +207,13 @@ def overlap_check(sets: DataFrame):
     """Keeps the distinct pairs (a, b) whose exact overlap reaches the threshold."""
     rows = sets.filter("cols IS NOT NULL")
     maps = cut(rows.select("id", "n", "bits").dropDuplicates(["id"]), "ngram-maps")
+    # one row of each sequence, so that only the columns of rows in a pair ever move
+    first = cut(rows.groupBy("id").agg(F.min("rid").alias("rid")), "ngram-first")
 
     def check(pairs: DataFrame) -> DataFrame:
         pairs = cut(kept_pairs(pairs, maps, "bits", most_shared), "ngram-pairs")
         ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id"))).distinct()
-        mine = cut(rows.select("id", "n", "cols").join(ids, "id", "left_semi").dropDuplicates(["id"]), "ngram-rows")
+        mine = cut(join_small(rows.select("id", "rid", "n", "cols"), ids.join(first, "id"), ["id", "rid"], "left_semi").drop("rid"), "ngram-rows")
         return kept_pairs(pairs, mine, "cols", exact_shared)
 
     return check
