@@ -9,6 +9,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from tickforge.operators import derive
 from tickforge.operators.derive import MINUTE, derive_bars, pair_windows
 from tickforge.session import scratch_path
 
@@ -128,3 +129,17 @@ def test_split_equals_plain_after_a_shuffle(spark):
                 assert got == plain
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", "8")
+
+
+def test_ranges_do_not_grow_with_the_rows(spark, monkeypatch):
+    """A low limit makes no more ranges than tasks have use for; rows stay the plain window's."""
+    made = []
+    cut = derive.cut_ranges
+    monkeypatch.setattr(derive, "cut_ranges", lambda df, order, ranges, name: made.append(ranges) or cut(df, order, ranges, name))
+    bars = own_requests(spark, 3_000)
+    cols = ["fsym", "ts", "request_timestamp", "high", "close", "close_lag1", "all_time_high"]
+    plain = Counter(tuple(r) for r in pair_windows(bars, "ts", with_ath=True, chunk_seconds=None).select(*cols).collect())
+    split = pair_windows(bars, "ts", with_ath=True, chunk_seconds=86_400, split_copies_over=10)
+    assert Counter(tuple(r) for r in split.select(*cols).collect()) == plain
+    assert made == [16]  # two a shuffle partition
+    assert derive._range_count(5_000_000_000, 100, 8) == 5_000 and derive._range_count(900, 100, 8) == 9

@@ -265,7 +265,7 @@ def pair_windows(
             carry.withColumns({"_lead": F.lit(0), "_tail": F.lit(0)}), allowMissingColumns=True)
         group, ranges = [*keys, "_chunk"], 0
     else:
-        ranges = -(-int(hot_rows) // split_copies_over)
+        ranges = _range_count(int(hot_rows), split_copies_over, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
         stream = _split_hot_chunks(base, carry, hot, keys, order_col, with_ath, ranges)
         group = [*keys, "_chunk", "_range"]
     if partitioning == "range" or (partitioning == "counts" and places is None):
@@ -288,6 +288,17 @@ def pair_windows(
     return out.drop("_lead", "_tail", "_copy", "_copies", "_range", "_place", "_chunk", *TIE)
 
 
+# Rows of a range beyond which there are more ranges than keep every task busy.
+RANGE_ROWS = 1_000_000
+
+
+def _range_count(rows: int, limit: int, partitions: int) -> int:
+    """Ranges of the ``rows`` in chunks of more than ``limit``: of at most ``limit`` rows,
+    larger where there would be more than two ranges a shuffle partition, as each costs
+    the driver a task's result and a sample, but of ``RANGE_ROWS`` at most."""
+    return max(min(-(-rows // limit), 2 * partitions), -(-rows // max(limit, RANGE_ROWS)))
+
+
 def _order_key(order_col: str) -> Column:
     return F.coalesce(F.unix_micros(F.col(order_col)), F.lit(LOWEST))
 
