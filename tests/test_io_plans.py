@@ -233,3 +233,20 @@ def test_checkpoint_root_refuses_local_folder_on_a_cluster():
 
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         checkpoint_root(Session())
+
+
+def test_documents_are_listed_once(spark):
+    """Many documents: one listing, of fewer tasks than folders; names stay text."""
+    from tickforge.sources import responses as resp
+
+    path = scratch_path(spark, "t-listed")
+    writers.sink_json(spark.range(100).select(
+        F.lit("007").alias("folder"), F.format_string("%03d", "id").alias("name"), F.lit("{}").alias("body")).repartition(2), path)
+    spark.sparkContext.setJobGroup("listing", "read_documents")
+    back = resp.read_documents(spark, path)
+    spark.sparkContext.setJobGroup("read", "the documents")
+    status = spark.sparkContext.statusTracker()
+    stages = [status.getStageInfo(s) for j in status.getJobIdsForGroup("listing") for s in status.getJobInfo(j).stageIds]
+    assert len(stages) == 1 and stages[0].numTasks <= 2 * spark.sparkContext.defaultParallelism
+    assert sorted((r["folder"], r["name"]) for r in back.collect()) == [("007", f"{i:03d}") for i in range(100)]
+    assert spark.conf.get("spark.sql.sources.partitionColumnTypeInference.enabled") == "true"

@@ -44,13 +44,23 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     rows of (``path``, ``body``) plus any partition columns of the folders.
 
     Each file is one row (``wholetext``), so a document is never split; the
-    files are spread over tasks by Spark's file listing.
+    files are spread over tasks by Spark's file listing.  The folders are listed
+    once, by a few tasks with many folders each.
     """
-    docs = spark.read.option("wholetext", True).option("basePath", path).text(path)
+    held = {
+        # folder values are text as they are written: '007' stays '007'
+        "spark.sql.sources.partitionColumnTypeInference.enabled": "false",
+        "spark.sql.sources.parallelPartitionDiscovery.parallelism": str(2 * spark.sparkContext.defaultParallelism),
+    }
+    before = {k: spark.conf.get(k) for k in held}
+    for k, v in held.items():
+        spark.conf.set(k, v)
+    try:
+        docs = spark.read.option("wholetext", True).option("basePath", path).text(path)
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
     names = [c for c in docs.columns if c != "value"]
-    # folder values are text as they are written: '007' stays '007'
-    typed = ", ".join(["value STRING", *[f"`{c}` STRING" for c in names]])
-    docs = spark.read.schema(typed).option("wholetext", True).option("basePath", path).text(path)
     return docs.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("body"), *names)
 
 
