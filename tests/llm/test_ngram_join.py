@@ -116,3 +116,16 @@ def test_columns_that_agree_in_32_bits_are_two():
     _, n, cols = N.shingle_set(" ".join(f"w{i}" for i in range(300_000)))
     assert n == len(cols) == 299_996  # about ten of these pairs agree in 32 bits
     assert len(np.unique(cols >> np.uint64(32))) < n
+
+
+def test_columns_in_a_worker_are_bounded(spark, make_docs):
+    """Counters take a byte each and stop at 255; batches are of few bytes."""
+    total = np.zeros(1 << N.COUNTER_BITS, dtype="u1")
+    cols = np.sort(np.arange(40, dtype="<u8") | np.uint64(5 << (64 - N.COUNTER_BITS))).tobytes()
+    seen = []
+    for _ in range(9):
+        N.count_columns(total, cols)
+        seen.append(int(total[5]))
+    assert seen == [40, 80, 120, 160, 200, 240, 255, 255, 255] and total.sum() == 255
+    N.join_ngrams(make_docs([(1, "a b c")])).collect()
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20

@@ -40,6 +40,8 @@ PER_CENT = 75
 # worker (4 MiB), whatever the corpus.
 COUNTER_BITS = 22
 _BLOCK = 4_096
+# A text's columns are several times its size in a worker, as hashes, bytes and Arrow.
+BATCH_BYTES = 4 << 20
 MAP_BITS = 2  # bits of a row's map for each of its columns, rounded up to a power of two
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -81,7 +83,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
     """``rid, doc_id, id, n, cols, bits`` from ``rid, doc_id, text``; ``cols`` (the
     sorted 64-bit hashes as bytes) and ``bits`` (their map) are null where an
     earlier row of the same batch has the same sequence."""
-    bound_batches(docs.sparkSession)
+    bound_batches(docs.sparkSession, nbytes=BATCH_BYTES)
     schema = pa.schema([("rid", pa.int64()), ("doc_id", pa.int64()), ("id", pa.int64()), ("n", pa.int64()),
                         ("cols", pa.binary()), ("bits", pa.binary())])
 
@@ -100,6 +102,13 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
         run, "rid long, doc_id long, id long, n long, cols binary, bits binary")
 
 
+def count_columns(total: np.ndarray, cols: bytes) -> None:
+    """Add a row's columns to their counters, a power of two of them, which stop at 255."""
+    # the columns are sorted: equal counters stand together
+    at, n = np.unique(np.frombuffer(cols, dtype="<u8") >> np.uint64(65 - len(total).bit_length()), return_counts=True)
+    total[at] = np.minimum(total[at] + n, 255)
+
+
 def column_ranks(sets: DataFrame) -> np.ndarray:
     """How often the columns of each counter occur over all rows, on a logarithmic
     scale of a byte.  A task sends its counters as blocks of bytes (each at most
@@ -111,13 +120,11 @@ def column_ranks(sets: DataFrame) -> np.ndarray:
         return pa.RecordBatch.from_arrays([pa.array(list(blocks), pa.int32()), pa.array(list(blocks.values()), pa.binary())], schema=schema)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, dtype=np.int64)
+        total = np.zeros(size, dtype="u1")
         for batch in batches:
             for (cols,) in rows_of(batch, "cols"):
-                # a row's columns are sorted: equal counters stand together
-                at, n = np.unique(np.frombuffer(cols, dtype="<u8") >> np.uint64(64 - COUNTER_BITS), return_counts=True)
-                total[at] += n
-        each = np.minimum(total, 255).astype("u1").reshape(-1, _BLOCK)
+                count_columns(total, cols)
+        each = total.reshape(-1, _BLOCK)
         yield send({int(k): each[k].tobytes() for k in np.flatnonzero(each.any(axis=1))})
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
