@@ -128,4 +128,4 @@ def test_columns_in_a_worker_are_bounded(spark, make_docs):
         seen.append(int(total[5]))
     assert seen == [40, 80, 120, 160, 200, 240, 255, 255, 255] and total.sum() == 255
     N.join_ngrams(make_docs([(1, "a b c")])).collect()
-    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 4 << 20
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= 1 << 20

@@ -41,7 +41,7 @@ PER_CENT = 75
 COUNTER_BITS = 22
 _BLOCK = 4_096
 # A text's columns are several times its size in a worker, as hashes, bytes and Arrow.
-BATCH_BYTES = 4 << 20
+BATCH_BYTES = 1 << 20
 MAP_BITS = 2  # bits of a row's map for each of its columns, rounded up to a power of two
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -97,6 +97,7 @@ def shingle_sets(docs: DataFrame) -> DataFrame:
                 seen.add(key)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[i] for r in out], f.type) for i, f in enumerate(schema)], schema=schema)
+        pa.default_memory_pool().release_unused()  # the worker lives on beside stages without Python
 
     return docs.select("rid", "doc_id", "text").mapInArrow(
         run, "rid long, doc_id long, id long, n long, cols binary, bits binary")
@@ -126,6 +127,7 @@ def column_ranks(sets: DataFrame) -> np.ndarray:
                 count_columns(total, cols)
         each = total.reshape(-1, _BLOCK)
         yield send({int(k): each[k].tobytes() for k in np.flatnonzero(each.any(axis=1))})
+        pa.default_memory_pool().release_unused()
 
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total: dict[int, np.ndarray] = {}
