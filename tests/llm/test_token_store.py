@@ -63,6 +63,22 @@ def test_texts_without_spaces_and_the_cache_bound(monkeypatch):
         assert enc.held <= 200_000 + 10 * 20_000 * 12
 
 
+def test_texts_are_encoded_in_large_bounded_groups():
+    """Groups share their new words: few calls of the tokenizer, and never more letters than the bound."""
+    rnd = random.Random(9)
+    rows = [(i, " ".join(f"w{rnd.randrange(300)}" for _ in range(20))) for i in range(2_500)]
+    rows += [(9_000 + i, "x" * n) for i, n in enumerate([ts.GROUP_LETTERS + 5, 3, ts.GROUP_LETTERS - 3, 1, 0])]
+    groups = list(ts.grouped(iter(rows)))
+    assert [r for g in groups for r in g] == rows and list(ts.grouped([])) == []
+    assert [len(g) for g in groups] == [1_000, 1_000, 500, 1, 2, 2]
+    assert all(len(g) == 1 or sum(len(t) for _, t in g) <= ts.GROUP_LETTERS for g in groups)
+    tok, enc, calls, learn = Tokenizer.from_file(PATH), ts.WordEncoder(PATH), [], ts.WordEncoder._learn
+    enc._learn = lambda words: (calls.append(len(words)), learn(enc, words))
+    got = [c for g in groups[:3] for c in enc.encode([t for _, t in g])]
+    assert sum(calls) == 300 and len(calls) == 3
+    assert all(np.frombuffer(c, "<u4").tolist() == tok.encode(t, add_special_tokens=False).ids for c, (_, t) in zip(got, rows))
+
+
 def test_direct_access():
     rnd = random.Random(7)
     ids = [rnd.choice([0, 5, 255, 256, 50_256, 70_000, 2**32 - 1, 1 << 24]) for _ in range(1_000)]

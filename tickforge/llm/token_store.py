@@ -25,7 +25,7 @@ import re
 import struct
 import uuid
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -47,7 +47,9 @@ WORD_BYTES = 160
 JOINED = 1_000  # new words encoded at once
 # Fixed value: how the byte alphabet writes a space.
 SPACE_BYTE = "\u0120"
-GROUP = 100  # texts split into words at once
+# Texts split into words at once: at most this many, of this many letters in all.
+GROUP = 1_000
+GROUP_LETTERS = 2 << 20
 END_ID = 0
 
 
@@ -99,7 +101,8 @@ class WordEncoder:
                 text = " " + " ".join(part)
             else:
                 odd = []
-            ids = np.asarray(self.tokenizer.encode(text, add_special_tokens=False).ids, dtype="<u4") if part else np.zeros(0, "<u4")
+            # without the places of the tokens in the text, which nothing here reads
+            ids = np.asarray(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, dtype="<u4") if part else np.zeros(0, "<u4")
             cuts = np.flatnonzero(self.led[ids]) * 4
             if len(cuts) == len(part):
                 cuts, codes = [*cuts.tolist(), 4 * len(ids)], ids.tobytes()
@@ -130,6 +133,21 @@ class WordEncoder:
         return [a + b"".join(map(known, parts)) for a, parts in zip(first, split)]
 
 
+def grouped(rows: Iterable[tuple]) -> Iterator[list[tuple]]:
+    """Rows (id, text) in order, in groups to encode at once: up to ``GROUP`` rows and
+    ``GROUP_LETTERS`` letters; a longer text is a group of its own."""
+    group: list[tuple] = []
+    letters = 0
+    for row in rows:
+        if group and (len(group) == GROUP or letters + len(row[1]) > GROUP_LETTERS):
+            yield group
+            group, letters = [], 0
+        group.append(row)
+        letters += len(row[1])
+    if group:
+        yield group
+
+
 _ENCODERS: dict[str, WordEncoder] = {}
 
 
@@ -151,19 +169,18 @@ def _padded(data: bytes) -> bytes:
 def pack_levels(ids: np.ndarray) -> list[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """Chunks, continuation bitmap words and rank directory of each level."""
     levels = []
-    rest = ids.astype(np.uint64)
+    rest = ids
     while True:
-        high = rest >> np.uint64(CHUNK_BITS)
-        more = high > 0
+        more = rest >= 1 << CHUNK_BITS
         bits = np.packbits(more, bitorder="little").tobytes()
         words = np.frombuffer(_padded(bits), dtype="<u8")
         before = np.zeros(len(words), dtype="<u8")
         if len(words):
             np.cumsum(np.bitwise_count(words[:-1]), out=before[1:])
-        levels.append(((rest & np.uint64((1 << CHUNK_BITS) - 1)).astype(np.uint8), words, before))
+        levels.append((rest.astype(np.uint8), words, before))
         if not more.any():
             return levels
-        rest = high[more]
+        rest = rest[more] >> np.uint32(CHUNK_BITS)
 
 
 def pack_shard(doc_ids: list[int | None], codes: list[bytes]) -> bytes:
@@ -229,13 +246,16 @@ class Shard:
 
     def tokens(self) -> np.ndarray:
         """All ids, level by level."""
-        out = np.zeros(self.n_tokens, dtype="<u4")
-        where = np.arange(self.n_tokens)
+        out = where = None
         for k, (n, chunks, words, _) in enumerate(self.levels):
-            level = np.frombuffer(self._at(chunks, n), dtype="u1")
-            out[where] |= level.astype(np.uint32) << np.uint32(CHUNK_BITS * k)
+            level = np.frombuffer(self._at(chunks, n), dtype="u1").astype("<u4")
             bits = np.frombuffer(self._at(words, 8 * -(-n // 64)), dtype="u1")
-            where = where[np.unpackbits(bits, count=n, bitorder="little").astype(bool)]
+            more = np.flatnonzero(np.unpackbits(bits, count=n, bitorder="little"))
+            if k == 0:
+                out, where = level, more
+            else:
+                out[where] |= level << np.uint32(CHUNK_BITS * k)
+                where = where[more]
         return out
 
     def doc_id(self, k: int) -> int | None:
@@ -295,8 +315,7 @@ def write_store(docs: DataFrame, root: str, tokenizer: str) -> DataFrame:
             return row
 
         for batch in batches:
-            for small in (batch.slice(k, GROUP) for k in range(0, batch.num_rows, GROUP)):
-                rows = list(rows_of(small, "doc_id", "text"))
+            for rows in grouped(rows_of(batch, "doc_id", "text")):
                 for (doc_id, _), code in zip(rows, coder.encode([t for _, t in rows])):
                     ids.append(doc_id)
                     codes.append(code + end)
